@@ -30,7 +30,7 @@ def cut(df: DataFrame) -> DataFrame:
     """The rows as a table written to the shared folder: lineage ends here, and a lost executor costs nothing."""
     spark = df.sparkSession
     at = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
-    df.write.parquet(at)
+    df.write.option("compression", "zstd").parquet(at)
     return spark.read.schema(df.schema).parquet(at)
 
 

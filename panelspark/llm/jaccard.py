@@ -15,8 +15,9 @@ places that can be such. Sets with equal emitted shingles and size are one group
    entries, the proven bound of the broadcast.
 2. Emit prefixes. Rare shingles go, packed, to bucket tasks; a run of up to SHORT groups gives its
    group pairs after the size and place filter. Longer runs, and shingles known as frequent, become
-   rows: in each size class of a shingle the least group is the pivot, found by a pre-aggregated
-   minimum, and groups pair with the pivots of the classes within reach. No run is ever collected.
+   rows: in each size class of a shingle the group with the fewest rare shingles is the pivot, found
+   by a pre-aggregated minimum, and each group pairs with the best pivot within reach of its size. No
+   run is ever collected.
 3. Verify. Pairs of groups, and the pairs of a group's own first member with its others, are checked
    on the sets themselves, rebuilt from the whole texts.
 4. The rest of the long runs: after contracting what is proven, only shingles and groups whose sets
@@ -136,8 +137,8 @@ class Order:
     def __init__(self, tokens: np.ndarray, times: np.ndarray, bits: int, percent: int = PERCENT):
         self.tokens, self.times, self.bits, self.percent = tokens, times, bits, percent
 
-    def prefix(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Tokens at the places where a first common shingle can stand, in order, and their counts (0: rare)."""
+    def prefix(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+        """Tokens at the places where a first common shingle can stand, in order, their counts (0: rare), and how many of the whole set are rare."""
         token = (h >> np.uint64(32 - self.bits)).astype(np.int64)
         times = np.zeros(len(h), np.int64)
         if len(self.tokens):
@@ -147,18 +148,31 @@ class Order:
         # With the smallest partner the overlap must reach ceil(percent * n / 100).
         p = len(h) - -(-self.percent * len(h) // 100) + 1
         order = np.lexsort((h, times))[:p]
-        return token[order], times[order]
+        return token[order], times[order], int((times == 0).sum())
 
 
 _RUN = np.dtype([("token", "<u4"), ("n", "<i4"), ("pos", "<i4"), ("group", "<i8")])
 
 
+def _pack(run: np.ndarray) -> bytes:
+    """A run by columns, as small numbers then compress on disk and on the way."""
+    return b"".join(np.ascontiguousarray(run[k]).tobytes() for k in _RUN.names)
+
+
+def _unpack(blob: bytes) -> np.ndarray:
+    run, at = np.empty(len(blob) // _RUN.itemsize, _RUN), 0
+    for k in _RUN.names:
+        run[k] = np.frombuffer(blob, _RUN[k], len(run), at)
+        at += _RUN[k].itemsize * len(run)
+    return run
+
+
 def _emitted(batches: Iterator[pa.RecordBatch], n: int, order: Order) -> Iterator[pa.RecordBatch]:
     """Of (doc_id, text_key, text): a row for each document; packed places of rare shingles; a row for each place of a frequent one."""
     import xxhash
 
-    names = ["kind", "doc_id", "text_key", "n", "set_id", "grp", "token", "pos", "blob"]
-    types = [pa.int8(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+    names = ["kind", "doc_id", "text_key", "n", "set_id", "grp", "token", "pos", "rare", "blob"]
+    types = [pa.int8(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
     seen: set[int] = set()
     runs: list[np.ndarray] = []
     buckets: list[np.ndarray] = []
@@ -171,7 +185,7 @@ def _emitted(batches: Iterator[pa.RecordBatch], n: int, order: Order) -> Iterato
         by = np.argsort(bucket, kind="stable")
         run, bucket = run[by], bucket[by]
         found, start = np.unique(bucket, return_index=True)
-        blobs = [x.tobytes() for x in np.split(run, start[1:])]
+        blobs = [_pack(x) for x in np.split(run, start[1:])]
         runs.clear()
         buckets.clear()
         return rows({"kind": [1] * len(found), "token": found, "blob": blobs}, len(found))
@@ -183,7 +197,7 @@ def _emitted(batches: Iterator[pa.RecordBatch], n: int, order: Order) -> Iterato
         often: list[tuple] = []
         for doc_id, key, text in zip(ids, keys, texts, strict=True):
             h = shingles(text, n)
-            token, times = order.prefix(h) if len(h) else (np.empty(0, np.int64),) * 2
+            token, times, unshared = order.prefix(h) if len(h) else (np.empty(0, np.int64), np.empty(0, np.int64), 0)
             sid = set_id(h)
             group = int(np.array([xxhash.xxh3_64_intdigest(token.tobytes(), len(h))], np.uint64).view(np.int64)[0])
             for k, v in (("kind", 0), ("doc_id", doc_id), ("text_key", key), ("n", len(h)), ("set_id", sid), ("grp", group)):
@@ -199,11 +213,11 @@ def _emitted(batches: Iterator[pa.RecordBatch], n: int, order: Order) -> Iterato
             runs.append(run)
             buckets.append(token[:rare] >> 32)
             held += rare
-            often.append((token[rare:], len(h), np.arange(rare, len(token)), group))
+            often.append((token[rare:], len(h), np.arange(rare, len(token)), group, unshared))
         yield rows(docs, len(ids))
         if size := sum(len(x[0]) for x in often):
             spread = lambda i: np.concatenate([np.full(len(x[0]), x[i]) for x in often])
-            yield rows({"kind": np.full(size, 2, np.int8), "token": np.concatenate([x[0] for x in often]), "n": spread(1).astype(np.int32), "pos": np.concatenate([x[2] for x in often]).astype(np.int32), "grp": spread(3)}, size)
+            yield rows({"kind": np.full(size, 2, np.int8), "token": np.concatenate([x[0] for x in often]), "n": spread(1).astype(np.int32), "pos": np.concatenate([x[2] for x in often]).astype(np.int32), "grp": spread(3), "rare": spread(4).astype(np.int32)}, size)
         if held > 2_000_000:
             yield flushed()
             held = 0
@@ -213,7 +227,7 @@ def _emitted(batches: Iterator[pa.RecordBatch], n: int, order: Order) -> Iterato
 
 def _paired(table: pa.Table, percent: int) -> pa.Table:
     """Of one bucket of rare shingles: group pairs of short runs (kind 1); the places of longer runs as rows (kind 2)."""
-    run = np.unique(np.frombuffer(b"".join(table.column("blob").to_pylist()), _RUN))
+    run = np.unique(np.concatenate([_unpack(x) for x in table.column("blob").to_pylist()]))
     bucket = table.column("token")[0].as_py()
     start = np.flatnonzero(np.r_[True, run["token"][1:] != run["token"][:-1]])
     size = np.diff(np.r_[start, len(run)])
@@ -281,20 +295,23 @@ def jaccard_components(docs: DataFrame, n: int = N, percent: int = PERCENT, most
     def emit(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _emitted(it, n, Order(*order.value, bits, percent))
 
-    emitted = cut(rows.mapInArrow(emit, "kind byte, doc_id long, text_key long, n int, set_id long, grp long, token long, pos int, blob binary"))
+    emitted = cut(rows.mapInArrow(emit, "kind byte, doc_id long, text_key long, n int, set_id long, grp long, token long, pos int, rare int, blob binary"))
     placed = emitted.where("kind = 0").select("doc_id", "text_key", F.col("n").alias("n_shingles"), "set_id", "grp")
     sets = cut(placed.where("n_shingles > 0").groupBy("set_id", "grp").agg(F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "text_key")).alias("of")))
     paired = cut(emitted.where("kind = 1").select("token", "blob").groupBy("token").applyInArrow(lambda t: _paired(t, percent), "kind byte, a long, b long, token long, n int, pos int"))
 
-    # Long runs: each group pairs with the pivots of the size classes that it can reach downwards.
-    long = emitted.where("kind = 2").select("token", "n", "pos", "grp").unionByName(paired.where("kind = 2").select("token", "n", "pos", F.col("a").alias("grp"))).distinct()
+    # Long runs: each group pairs with one pivot, the best of the size classes within reach. The best one has the
+    # fewest rare shingles: copies of a text have what the text has, and shingles of their own; the text itself
+    # lies nearer to all copies than they lie to each other.
+    of_group = emitted.where("kind = 2").select("token", "n", "pos", "grp", "rare")
+    long = of_group.unionByName(paired.where("kind = 2").select("token", "n", "pos", F.col("a").alias("grp"), F.col("pos").alias("rare"))).groupBy("token", "grp").agg(F.min("n").alias("n"), F.min("pos").alias("pos"), F.min("rare").alias("rare"))
     step = math.log(100 / percent) / 2
     long = long.withColumn("class", F.floor(F.log(F.col("n").cast("double")) / step).cast("int"))
-    pivots = long.groupBy("token", "class").agg(F.min(F.struct("n", "grp", "pos")).alias("p"))
+    pivot = F.min(F.struct("rare", "n", "grp", "pos")).alias("p")
+    pivots = long.groupBy("token", "class").agg(pivot).select("token", F.explode(F.array(*[F.col("class") + i for i in range(-2, 3)])).alias("class"), "p").groupBy("token", "class").agg(F.min("p").alias("p"))
     a0 = lambda x, y: F.ceil((x + y) * percent / (100 + percent))
     fits = lambda x, px, y, py: (x - px >= a0(x, y)) & (y - py >= a0(x, y))
-    reach = long.withColumn("class", F.explode(F.array(*[F.col("class") - i for i in range(4)])))
-    starred = reach.join(pivots, ["token", "class"]).where(F.col("grp") != F.col("p.grp")).where(fits(F.col("n"), F.col("pos"), F.col("p.n"), F.col("p.pos"))).select(F.least("grp", "p.grp").alias("a"), F.greatest("grp", "p.grp").alias("b"))
+    starred = long.join(pivots, ["token", "class"]).where(F.col("grp") != F.col("p.grp")).where(fits(F.col("n"), F.col("pos"), F.col("p.n"), F.col("p.pos"))).select(F.least("grp", "p.grp").alias("a"), F.greatest("grp", "p.grp").alias("b"))
     group_pairs = paired.where("kind = 1").select("a", "b").unionByName(starred).distinct()
 
     # A group's first member stands for it; its others are paired with it.
