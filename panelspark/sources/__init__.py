@@ -1 +1,45 @@
-"""Sources of panelspark."""
+"""Tables and files: explicit schemas, tolerant scans, deterministic sinks."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """A driver table; with column names, only those are scanned."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return df.select(*columns) if columns else df
+
+
+def read_csv(spark: SparkSession, path: str, schema: str, header: bool = True, width: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows, refused lines) of CSV, gzip by extension; headerless files take names by position."""
+    # The scan is permissive with the raw line kept, so that refusals can be looked at.
+    df = spark.read.csv(path, schema=f"{schema}, _bad string", header=header, mode="PERMISSIVE", columnNameOfCorruptRecord="_bad", enforceSchema=True)
+    return df.where("_bad IS NULL").drop("_bad"), df.where("_bad IS NOT NULL").select("_bad")
+
+
+def read_json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """JSON lines; lines that don't parse are skipped."""
+    return spark.read.json(path, schema=schema, mode="DROPMALFORMED")
+
+
+def read_documents(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """One JSON per entity, keyed by the file's name."""
+    return spark.read.json(path, schema=schema, multiLine=True).withColumn("key", F.regexp_extract(F.input_file_name(), r"([^/]+)\.json", 1))
+
+
+def result_set(df: DataFrame, payload: str, columns: list[str], headers: str = "headers", rows: str = "rowSet") -> DataFrame:
+    """Rows of a payload with a header array and row arrays, by header name whatever its place."""
+    p = F.from_json(F.col(payload), f"{headers} array<string>, {rows} array<array<string>>")
+    x = df.withColumn("_p", p).withColumn("_r", F.explode(f"_p.{rows}"))
+    return x.select("*", *[F.get(F.col("_r"), (F.array_position(F.col(f"_p.{headers}"), c) - 1).cast("int")).alias(c) for c in columns]).drop("_p", "_r")
+
+
+def write_csv(df: DataFrame, path: str, first: str) -> None:
+    """CSV with the key first, other columns sorted, null as empty."""
+    df.select(first, *sorted(c for c in df.columns if c != first)).write.csv(path, header=True, nullValue="", emptyValue="", mode="overwrite")
+
+
+def write_partitioned(df: DataFrame, path: str, *by: str) -> None:
+    df.write.partitionBy(*by).mode("overwrite").parquet(path)
