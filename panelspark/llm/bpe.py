@@ -199,7 +199,7 @@ class Utf8Stream:
         for back in range(1, min(4, len(data) + 1)):
             byte = data[-back]
             if byte & 0xC0 != 0x80:
-                wants = 4 if byte >= 0xF0 else 3 if byte >= 0xE0 else 2 if byte >= 0xC0 else 1
+                wants = 1 if byte < 0xC2 or byte > 0xF4 else 4 if byte >= 0xF0 else 3 if byte >= 0xE0 else 2
                 waiting = back if wants > back else 0
                 break
         end = len(data) - waiting
