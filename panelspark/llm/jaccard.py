@@ -18,8 +18,11 @@ places that can be such. Sets with equal emitted shingles and size are one group
    rows: in each size class of a shingle the group with the fewest rare shingles is the pivot, found
    by a pre-aggregated minimum, and each group pairs with the best pivot within reach of its size. No
    run is ever collected.
-3. Verify. Pairs of groups, and the pairs of a group's own first member with its others, are checked
-   on the sets themselves, rebuilt from the whole texts.
+3. Verify. Pairs of groups, and the pairs of a group's own first member with its others, first meet as
+   parity bitmaps: each set keeps a bit for every bucket of its hashes that holds an odd number of
+   them, two buckets or more a shingle. Bits that differ are a lower bound of the shingles that do, so
+   a pair with more of them than linked sets may have is refused without its texts, and no link is
+   lost. The rest is checked on the sets themselves, rebuilt from the whole texts.
 4. The rest of the long runs: after contracting what is proven, only shingles and groups whose sets
    still lie in different components are left; those pairs are expanded to members and verified too.
 
@@ -89,6 +92,19 @@ def needed(x: int, y: int, percent: int = PERCENT) -> int:
     return -(-percent * (x + y) // (100 + percent))
 
 
+def parity(h: np.ndarray) -> bytes:
+    """The parity bitmap of a set: a power of two of bits, at least two a shingle and 64."""
+    bits = max(64, 1 << max(0, 2 * len(h) - 1).bit_length())
+    odd = np.bincount((h & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def least_difference(x: bytes, y: bytes) -> int:
+    """A lower bound of the size of the symmetric difference, from parity bitmaps; the larger is folded to the smaller."""
+    u, v = (np.frombuffer(b, np.uint64) for b in ((x, y) if len(x) <= len(y) else (y, x)))
+    return int(np.bitwise_count(u ^ np.bitwise_xor.reduce(v.reshape(-1, len(u)), axis=0)).sum())
+
+
 def set_id(h: np.ndarray) -> int:
     import xxhash
 
@@ -171,7 +187,7 @@ def _emitted(batches: Iterator[pa.RecordBatch], n: int, order: Order) -> Iterato
     """Of (doc_id, text_key, text): a row for each document; packed places of rare shingles; a row for each place of a frequent one."""
     import xxhash
 
-    names = ["kind", "doc_id", "text_key", "n", "set_id", "grp", "token", "pos", "rare", "blob"]
+    names = ["kind", "doc_id", "text_key", "n", "set_id", "grp", "token", "pos", "rare", "blob"]  # blob: the parity bitmap of a document, or packed places
     types = [pa.int8(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
     seen: set[int] = set()
     runs: list[np.ndarray] = []
@@ -193,14 +209,14 @@ def _emitted(batches: Iterator[pa.RecordBatch], n: int, order: Order) -> Iterato
     held = 0
     for batch in batches:
         ids, keys, texts = (batch.column(i).to_pylist() for i in range(3))
-        docs: dict[str, list] = {k: [] for k in ("kind", "doc_id", "text_key", "n", "set_id", "grp")}
+        docs: dict[str, list] = {k: [] for k in ("kind", "doc_id", "text_key", "n", "set_id", "grp", "blob")}
         often: list[tuple] = []
         for doc_id, key, text in zip(ids, keys, texts, strict=True):
             h = shingles(text, n)
             token, times, unshared = order.prefix(h) if len(h) else (np.empty(0, np.int64), np.empty(0, np.int64), 0)
             sid = set_id(h)
             group = int(np.array([xxhash.xxh3_64_intdigest(token.tobytes(), len(h))], np.uint64).view(np.int64)[0])
-            for k, v in (("kind", 0), ("doc_id", doc_id), ("text_key", key), ("n", len(h)), ("set_id", sid), ("grp", group)):
+            for k, v in (("kind", 0), ("doc_id", doc_id), ("text_key", key), ("n", len(h)), ("set_id", sid), ("grp", group), ("blob", parity(h) if len(h) else None)):
                 docs[k].append(v)
             if not len(h) or group in seen:
                 continue
@@ -255,6 +271,14 @@ def _paired(table: pa.Table, percent: int) -> pa.Table:
     })
 
 
+def _near(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """(a, b, n_a, n_b, bits_a, bits_b) -> the (a, b) whose bitmaps don't rule out a link."""
+    for batch in batches:
+        a, b, x, y, u, v = (batch.column(i).to_pylist() for i in range(6))
+        keep = [i for i in range(len(a)) if least_difference(u[i], v[i]) <= x[i] + y[i] - 2 * needed(x[i], y[i], percent)]
+        yield pa.RecordBatch.from_arrays([pa.array([z[i] for i in keep], pa.int64()) for z in (a, b)], names=["a", "b"])
+
+
 def _verified(batches: Iterator[pa.RecordBatch], n: int, percent: int) -> Iterator[pa.RecordBatch]:
     """(a, b, text_a, text_b) -> the (a, b) that link."""
     last: tuple = (None, None)
@@ -296,8 +320,8 @@ def jaccard_components(docs: DataFrame, n: int = N, percent: int = PERCENT, most
         return _emitted(it, n, Order(*order.value, bits, percent))
 
     emitted = cut(rows.mapInArrow(emit, "kind byte, doc_id long, text_key long, n int, set_id long, grp long, token long, pos int, rare int, blob binary"))
-    placed = emitted.where("kind = 0").select("doc_id", "text_key", F.col("n").alias("n_shingles"), "set_id", "grp")
-    sets = cut(placed.where("n_shingles > 0").groupBy("set_id", "grp").agg(F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "text_key")).alias("of")))
+    placed = emitted.where("kind = 0").select("doc_id", "text_key", F.col("n").alias("n_shingles"), "set_id", "grp", F.col("blob").alias("bits"))
+    sets = cut(placed.where("n_shingles > 0").groupBy("set_id", "grp").agg(F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "text_key")).alias("of"), F.min("n_shingles").alias("n"), F.first("bits").alias("bits")))
     paired = cut(emitted.where("kind = 1").select("token", "blob").groupBy("token").applyInArrow(lambda t: _paired(t, percent), "kind byte, a long, b long, token long, n int, pos int"))
 
     # Long runs: each group pairs with one pivot, the best of the size classes within reach. The best one has the
@@ -348,12 +372,18 @@ def jaccard_components(docs: DataFrame, n: int = N, percent: int = PERCENT, most
 
 
 def _links(rows: DataFrame, sets: DataFrame, pairs: DataFrame, n: int, percent: int, few: int) -> DataFrame:
-    """Of pairs (a, b) of sets, those that link, checked on the texts of a document of each."""
-    pairs = cut(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a != b").distinct())
+    """Of pairs (a, b) of sets, those that link: by their bitmaps, then on the texts of a document of each."""
+    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a != b").distinct()
+    u = sets.select(F.col("set_id").alias("a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a"))
+    v = sets.select(F.col("set_id").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b"))
+    signed = pairs.join(u, "a").join(v, "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
+    pairs = cut(signed.mapInArrow(lambda it: _near(it, percent), "a long, b long"))
     of = sets.groupBy("set_id").agg(F.min("of").alias("of")).select("set_id", F.col("of.doc_id").alias("_id"), F.col("of.text_key").alias("_key"))
     wanted = cut(pairs.select(F.col("a").alias("set_id")).unionByName(pairs.select(F.col("b").alias("set_id"))).distinct().join(of, "set_id"))
     ids = F.broadcast(wanted) if wanted.count() <= few else wanted
-    texts = cut(rows.join(ids, rows["doc_id"].eqNullSafe(ids["_id"]) & (rows["text_key"] == ids["_key"])).select("set_id", "text").dropDuplicates(["set_id"]))
+    texts = cut(rows.join(ids, rows["doc_id"].eqNullSafe(ids["_id"]) & (rows["text_key"] == ids["_key"])).select("set_id", "text"))
+    if texts.groupBy("set_id").count().where("count > 1").limit(1).count():  # repeated rows
+        texts = cut(texts.dropDuplicates(["set_id"]))
     x, y = texts.select(F.col("set_id").alias("a"), F.col("text").alias("x")), texts.select(F.col("set_id").alias("b"), F.col("text").alias("y"))
     # The lesser end often is a pivot with many partners: its text travels to where the pairs are dealt by the other end.
     joined = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")

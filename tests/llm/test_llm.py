@@ -314,3 +314,16 @@ def test_pipeline(spark):
             assert all(root == i for i, (_, root) in plain_components(rows).items())
             assert {i for i, _ in rows} <= set(before)
     assert kept.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and kept.count() > 0
+
+
+def test_parity_bitmaps_never_rule_out_a_link():
+    rng = np.random.default_rng(5)
+    for n in (1, 2, 33, 64, 700, 9000):
+        x = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+        for gone, new in ((0, 0), (n // 9, n // 10), (n // 2, n), (n, 3 * n)):
+            y = np.unique(np.concatenate([x[gone:], rng.integers(0, 2**63, new, dtype=np.uint64)]))
+            if len(y):
+                true = len(x) + len(y) - 2 * len(np.intersect1d(x, y))
+                assert jaccard.least_difference(jaccard.parity(x), jaccard.parity(y)) <= true
+    far = [jaccard.parity(np.unique(rng.integers(0, 2**63, 500, dtype=np.uint64))) for _ in range(2)]
+    assert jaccard.least_difference(*far) > 2 * 500 - 2 * jaccard.needed(500, 500)
