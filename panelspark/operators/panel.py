@@ -76,3 +76,26 @@ def islands(df: DataFrame, key: str, day: str) -> DataFrame:
 def before(order: WindowSpec) -> WindowSpec:
     """All rows that come earlier, the current one left out."""
     return order.rowsBetween(Window.unboundedPreceding, -1)
+
+
+def two_regressor_residual(y: Column, x: Column, z: Column, group: WindowSpec, least: int) -> Column:
+    """Residual of least squares on two regressors within a group, from its moments; missing in groups under ``least`` rows or with collinear regressors."""
+    mean = lambda c: F.avg(c).over(group)
+    cov = lambda a, b: F.covar_pop(a, b).over(group)
+    det = F.nullif(cov(x, x) * cov(z, z) - cov(x, z) * cov(x, z), F.lit(0.0))
+    bx, bz = (cov(x, y) * cov(z, z) - cov(z, y) * cov(x, z)) / det, (cov(z, y) * cov(x, x) - cov(x, y) * cov(x, z)) / det
+    return F.when(F.count(F.lit(1)).over(group) >= least, y - mean(y) - bx * (x - mean(x)) - bz * (z - mean(z)))
+
+
+def permuted(df: DataFrame, key: str, strata: list[str], value: list[str], seed: int) -> DataFrame:
+    """The rows with ``value`` columns dealt to others of the stratum and null pattern, as one vector, by a seeded hash: a control that breaks the link to the key only."""
+    pattern = [F.col(c).isNull().cast("int").alias(f"_null_{c}") for c in value]
+    rows = df.select("*", *pattern)
+    by = [*strata, *[f"_null_{c}" for c in value]]
+    own, dealt = Window.partitionBy(*by).orderBy(key), Window.partitionBy(*by).orderBy(F.sha2(F.concat_ws("|", F.lit(str(seed)), F.col(key).cast("string")), 256))
+    left = rows.drop(*value).withColumn("_at", F.row_number().over(own))
+    right = rows.select(*[F.col(c).alias(f"_{i}") for i, c in enumerate(by)], *value, F.row_number().over(dealt).alias("_to"))
+    same = F.col("_at") == F.col("_to")
+    for i, c in enumerate(by):
+        same &= F.col(c).eqNullSafe(F.col(f"_{i}"))
+    return left.join(right, same).select(*df.columns)

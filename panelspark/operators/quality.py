@@ -65,3 +65,16 @@ def tiered(candidates: DataFrame, left: str, right: str) -> DataFrame:
     best = candidates.groupBy(left, "tier").agg(F.count_distinct(right).alias("n"), F.min(right).alias("r"))
     first = best.withColumn("_t", F.row_number().over(Window.partitionBy(left).orderBy("tier"))).where("_t = 1")
     return first.select(left, "tier", F.when(F.col("n") == 1, F.col("r")).alias(right), F.when(F.col("n") == 1, "matched").otherwise("ambiguous").alias("status"))
+
+
+def one_swap(a: Column, b: Column) -> Column:
+    """Whether two different texts of equal length differ by one swap of neighbours."""
+    swapped = lambda i: F.concat(F.substring(a, F.lit(1), i - 1), F.substring(a, i + 1, F.lit(1)), F.substring(a, i, F.lit(1)), F.substring(a, i + 2, F.char_length(a)))
+    places = F.when((F.char_length(a) > 1) & (F.char_length(a) == F.char_length(b)) & (a != b), F.sequence(F.lit(1), F.char_length(a) - 1))
+    return F.coalesce(F.exists(places, lambda i: swapped(i) == b), F.lit(False))
+
+
+def clashes(candidates: DataFrame, seen: DataFrame, a: str, b: str, who: str, where: str) -> DataFrame:
+    """Candidate pairs (a, b) that occur in one place together, so are two: equi-joins on the candidates' keys, never all pairs of a place."""
+    x, y = seen.select(F.col(who).alias(a), where).distinct(), seen.select(F.col(who).alias(b), where).distinct()
+    return candidates.join(x, a).join(y, [b, where], "left_semi").select(a, b).distinct()

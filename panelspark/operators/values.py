@@ -93,3 +93,37 @@ def inverse_normal_sql(p: str) -> str:
     mid = f"(({poly(A, r)}) * {q} / (({poly(B, r)}) * {r} + 1e0))"
     tail = lambda x: f"(({poly(C, x)}) / (({poly(D, x)}) * {x} + 1e0))"
     return e(f"CASE WHEN {p} < 0.02425e0 THEN {tail(low)} WHEN {p} <= 0.97575e0 THEN {mid} ELSE -{tail(high)} END")
+
+
+#: The months, in order, by their first three letters.
+MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
+
+
+def prose_date(text: Column) -> Column:
+    """The first date of a text: month day year, day month year, month year (its first day) or a lone year (1 January), tried in this order; impossible days are missing."""
+    month, year = rf"\b((?:{'|'.join(MONTHS)})[a-z]*)\.?", r"((?:19|20)\d\d)\b"
+    forms = [(rf"{month}\s+(\d{{1,2}}),?\s+{year}", 3, 1, 2), (rf"\b(\d{{1,2}})\s+{month},?\s+{year}", 3, 2, 1), (rf"{month},?\s+{year}", 2, 1, None), (rf"\b{year}", 1, None, None)]
+    low, out = F.lower(text), None
+    for pattern, y, m, d in forms:
+        part = lambda i, p=pattern: F.regexp_extract(low, p, i)
+        number = F.lit("1") if m is None else F.array_position(F.array(*map(F.lit, MONTHS)), F.left(part(m), F.lit(3))).cast("string")
+        day = F.lit("1") if d is None else part(d)
+        at = F.concat_ws("-", part(y), F.lpad(number, 2, "0"), F.lpad(day, 2, "0")).try_cast("date")
+        hit = low.rlike(pattern)
+        out = F.when(hit, at) if out is None else out.when(hit, at)
+    return out
+
+
+def relative_date(text: Column, anchor: Column) -> Column:
+    """``same day``, ``next day``, ``N days later``, ``N weeks later`` from an anchor date; anything else is missing."""
+    low = F.lower(text)
+    n = lambda unit: F.regexp_extract(low, rf"\b(\d{{1,4}}) {unit}s? later\b", 1).try_cast("int")
+    return F.when(low.rlike(r"\bsame day\b"), anchor).when(low.rlike(r"\b(next|following) day\b"), F.date_add(anchor, 1)).when(n("day").isNotNull(), F.date_add(anchor, n("day"))).when(n("week").isNotNull(), F.date_add(anchor, n("week") * 7))
+
+
+def repair_encoding(text: Column, rounds: int = 3) -> Column:
+    """UTF-8 that was read as Latin-1, undone while that gives valid UTF-8, at most ``rounds`` times."""
+    for _ in range(rounds):
+        raw = F.when(text.rlike(r"[\x80-\xff]") & text.rlike(r"^[\x00-\xff]*$"), F.encode(text, "ISO-8859-1").cast("string"))
+        text = F.when(F.is_valid_utf8(raw), raw).otherwise(text)
+    return text

@@ -596,3 +596,71 @@ def tumbling_daily(spark, d):
     from ..streaming import daily_counts
 
     return daily_counts(table(spark, d, "events", "ts", "event_type", "value"))
+
+
+@query("""
+SELECT o_orderkey, CASE o_orderkey % 4 WHEN 2 THEN date_trunc('month', o_orderdate) WHEN 3 THEN date_trunc('year', o_orderdate) ELSE o_orderdate END::DATE::VARCHAR AS said,
+  (o_orderdate::DATE + CASE o_orderkey % 3 WHEN 0 THEN 1 WHEN 1 THEN (o_orderkey % 9)::INTEGER ELSE 14 END)::DATE::VARCHAR AS later FROM orders
+""")
+def dates_in_prose(spark, d):
+    o = table(spark, d, "orders", "o_orderkey", "o_orderdate")
+    k, form = F.col("o_orderkey"), lambda f: F.date_format("o_orderdate", f)
+    said = F.when(k % 4 == 0, F.concat(F.lit("signed on "), form("MMMM d, yyyy"))).when(k % 4 == 1, F.concat(form("d MMM yyyy"), F.lit(" at noon"))).when(k % 4 == 2, F.concat(F.lit("since "), form("MMMM yyyy"))).otherwise(F.concat(F.lit("class of "), form("yyyy")))
+    later = F.when(k % 3 == 0, "the next day").when(k % 3 == 1, F.concat((k % 9).cast("string"), F.lit(" days later"))).otherwise("2 weeks later")
+    return o.select("o_orderkey", values.prose_date(said).cast("string").alias("said"), values.relative_date(later, F.col("o_orderdate").cast("date")).cast("string").alias("later"))
+
+
+@query("""
+SELECT a.c_custkey AS a, b.c_custkey AS b FROM customer a JOIN customer b ON list_sort(string_split(a.c_name, '')) = list_sort(string_split(b.c_name, '')) AND a.c_custkey < b.c_custkey
+WHERE damerau_levenshtein(a.c_name, b.c_name) = 1
+""")
+def neighbour_swap_block(spark, d):
+    # Texts that differ by a swap have the same letters: these are the block.
+    c = table(spark, d, "customer", "c_custkey", "c_name").withColumn("bag", F.array_join(F.array_sort(F.split("c_name", "")), ""))
+    x, y = c.select("bag", F.col("c_custkey").alias("a"), F.col("c_name").alias("m")), c.select("bag", F.col("c_custkey").alias("b"), F.col("c_name").alias("n"))
+    return x.join(y, "bag").where("a < b").where(quality.one_swap(F.col("m"), F.col("n"))).select("a", "b")
+
+
+@query("""
+SELECT DISTINCT x.l_suppkey AS a, y.l_suppkey AS b FROM lineitem x JOIN lineitem y ON x.l_orderkey = y.l_orderkey AND y.l_suppkey = x.l_suppkey + 1
+""")
+def same_place_clash(spark, d):
+    s = table(spark, d, "supplier", "s_suppkey")
+    pairs = s.select(F.col("s_suppkey").alias("a"), (F.col("s_suppkey") + 1).alias("b"))
+    return quality.clashes(pairs, table(spark, d, "lineitem", "l_orderkey", "l_suppkey"), "a", "b", "l_suppkey", "l_orderkey")
+
+
+@query("""
+WITH m AS (SELECT p_brand AS g, count(*) AS n, avg(p_retailprice) AS my, avg(p_size) AS mx, avg(p_partkey % 50) AS mz, var_pop(p_size) AS xx, var_pop(p_partkey % 50) AS zz, covar_pop(p_size, p_partkey % 50) AS xz,
+  covar_pop(p_size, p_retailprice) AS xy, covar_pop(p_partkey % 50, p_retailprice) AS zy FROM part GROUP BY 1)
+SELECT p_partkey, CASE WHEN n >= 6 THEN round(p_retailprice - my - (xy * zz - zy * xz) / (xx * zz - xz * xz) * (p_size - mx) - (zy * xx - xy * xz) / (xx * zz - xz * xz) * (p_partkey % 50 - mz) + 1.37e-5, 4) END AS residual FROM part JOIN m ON p_brand = g
+""")
+def ols_two_regressors(spark, d):
+    p = table(spark, d, "part", "p_partkey", "p_brand", "p_size", "p_retailprice")
+    r = panel.two_regressor_residual(F.col("p_retailprice"), F.col("p_size").cast("double"), (F.col("p_partkey") % 50).cast("double"), Window.partitionBy("p_brand"), 6)
+    return p.select("p_partkey", off_grid(r).alias("residual"))
+
+
+@query("""
+WITH c AS (SELECT c_custkey, c_mktsegment AS s, c_acctbal, c_nationkey, row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey) AS own, row_number() OVER (PARTITION BY c_mktsegment ORDER BY sha256('7|' || c_custkey)) AS dealt FROM customer)
+SELECT x.c_custkey, x.s AS c_mktsegment, y.c_acctbal, y.c_nationkey FROM c x JOIN c y ON x.s = y.s AND x.own = y.dealt
+""")
+def permutation_control(spark, d):
+    c = table(spark, d, "customer", "c_custkey", "c_mktsegment", "c_acctbal", "c_nationkey")
+    return panel.permuted(c, "c_custkey", ["c_mktsegment"], ["c_acctbal", "c_nationkey"], 7)
+
+
+@query("""
+WITH r AS (SELECT c_custkey, c_nationkey, count(*) AS n, coalesce(sum(o_totalprice), 0) AS v FROM customer JOIN orders ON o_custkey = c_custkey GROUP BY ALL),
+k AS (SELECT c_custkey, 2 * rank() OVER (PARTITION BY c_nationkey ORDER BY n) + count(*) OVER (PARTITION BY c_nationkey, n) - 1 AS kn, 2 * rank() OVER (PARTITION BY c_nationkey ORDER BY v) + count(*) OVER (PARTITION BY c_nationkey, v) - 1 AS kv FROM r)
+SELECT recipe, c_custkey, (un * kn + uv * kv)::BIGINT AS blend FROM k, (VALUES ('even', 6, 6), ('count', 9, 3), ('value', 2, 10)) w(recipe, un, uv)
+""")
+def recipe_blends(spark, d):
+    o = table(spark, d, "orders", "o_custkey", "o_totalprice").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"), F.sum("o_totalprice").alias("v"))
+    r = table(spark, d, "customer", "c_custkey", "c_nationkey").join(o, F.col("c_custkey") == F.col("o_custkey"))
+    k = r.select("c_custkey", panel.doubled_rank(F.col("n"), "c_nationkey").alias("n"), panel.doubled_rank(F.col("v"), "c_nationkey").alias("v"))
+    recipes = (("even", 6, 6), ("count", 9, 3), ("value", 2, 10))
+    if any(a + b != 12 for _, a, b in recipes):
+        raise ValueError("units of a recipe sum to 12")
+    blends = F.explode(F.array(*[F.struct(F.lit(name).alias("recipe"), (a * F.col("n") + b * F.col("v")).cast("long").alias("blend")) for name, a, b in recipes])).alias("x")
+    return k.select("c_custkey", blends).select("x.recipe", "c_custkey", "x.blend")

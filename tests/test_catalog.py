@@ -119,3 +119,16 @@ def test_ledger(spark):
     assert broken_links(spark.createDataFrame(log, schema), "i", "payload", "previous", "digest").count() == 0
     log[2] = (2, "forged", *log[2][2:])
     assert [r["i"] for r in broken_links(spark.createDataFrame(log, schema), "i", "payload", "previous", "digest").collect()] == [2]
+
+
+def test_repair_encoding(spark):
+    good = ["naïve café", "plain", "Đorđe", "", None, "ÿ alone"]
+    broken = [t if t is None else t.encode().decode("latin-1").encode().decode("latin-1") for t in good]
+    df = spark.createDataFrame([(i, b, g) for i, (b, g) in enumerate(zip(broken, good, strict=True))], "i int, b string, g string")
+    assert [r[0] for r in df.orderBy("i").select(values.repair_encoding(F.col("b"))).collect()] == good
+    assert [r[0] for r in df.orderBy("i").select(values.repair_encoding(F.col("g"))).collect()] == good
+
+
+def test_dates_that_cannot_be(spark):
+    df = spark.createDataFrame([(0, "February 30, 2019"), (1, None), (2, "no date"), (3, "Sept. 2021")], "i int, t string")
+    assert [r[0] for r in df.orderBy("i").select(values.prose_date(F.col("t")).cast("string")).collect()] == [None, None, None, "2021-09-01"]
