@@ -99,3 +99,11 @@ def permuted(df: DataFrame, key: str, strata: list[str], value: list[str], seed:
     for i, c in enumerate(by):
         same &= F.col(c).eqNullSafe(F.col(f"_{i}"))
     return left.join(right, same).select(*df.columns)
+
+
+def paired_deltas(df: DataFrame, on: list[str], arm: str, value: str, base: str) -> DataFrame:
+    """(arm, n, mean_delta, wins): each arm against the base arm over the units that have both, one row for each unit and arm expected."""
+    other = df.where((F.col(arm) != base) & F.col(value).isNotNull())
+    real = df.where((F.col(arm) == base) & F.col(value).isNotNull()).select(*on, F.col(value).alias("_base"))
+    delta = F.col(value) - F.col("_base")
+    return other.join(real, on).groupBy(arm).agg(F.count(F.lit(1)).alias("n"), F.avg(delta).alias("mean_delta"), F.count_if(delta > 0).alias("wins"))

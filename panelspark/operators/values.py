@@ -127,3 +127,11 @@ def repair_encoding(text: Column, rounds: int = 3) -> Column:
         raw = F.when(text.rlike(r"[\x80-\xff]") & text.rlike(r"^[\x00-\xff]*$"), F.encode(text, "ISO-8859-1").cast("string"))
         text = F.when(F.is_valid_utf8(raw), raw).otherwise(text)
     return text
+
+
+def hits(text: Column, term: str, negations: tuple[str, ...], window: int = 20) -> tuple[Column, Column]:
+    """(hits of a word between spaces, those of them with a negation in the ``window`` characters before, back to the last hit at most); a missing text has none."""
+    pieces = F.split(F.concat(F.lit(" "), F.coalesce(text, F.lit("")), F.lit(" ")), f" {term} ", -1)
+    before = F.slice(pieces, F.lit(1), F.size(pieces) - 1)
+    negated = F.filter(before, lambda p: F.concat(F.lit(" "), F.right(p, F.lit(window)), F.lit(" ")).rlike(f" ({'|'.join(negations)}) "))
+    return (F.size(pieces) - 1).cast("long"), F.size(negated).cast("long")

@@ -664,3 +664,22 @@ def recipe_blends(spark, d):
         raise ValueError("units of a recipe sum to 12")
     blends = F.explode(F.array(*[F.struct(F.lit(name).alias("recipe"), (a * F.col("n") + b * F.col("v")).cast("long").alias("blend")) for name, a, b in recipes])).alias("x")
     return k.select("c_custkey", blends).select("x.recipe", "c_custkey", "x.blend")
+
+
+@query("""
+WITH p AS (SELECT doc_id, string_split(' ' || coalesce(text, '') || ' ', ' a ') AS p FROM documents)
+SELECT doc_id, (len(p) - 1)::BIGINT AS hits, len(list_filter(p[1:len(p) - 1], lambda x: regexp_matches(' ' || right(x, 20) || ' ', ' (no|not|ni|de|le) ')))::BIGINT AS negated FROM p
+""")
+def negated_hits(spark, d):
+    total, negated = values.hits(F.col("text"), "a", ("no", "not", "ni", "de", "le"))
+    return table(spark, d, "documents", "doc_id", "text").select("doc_id", total.alias("hits"), negated.alias("negated"))
+
+
+@query("""
+WITH m AS (SELECT l_shipdate::DATE AS day, l_returnflag AS arm, avg(l_quantity) AS v FROM lineitem GROUP BY ALL)
+SELECT x.arm, count(*) AS n, round(avg(x.v - y.v) + 1.37e-5, 4) AS mean_delta, count(*) FILTER (x.v > y.v) AS wins FROM m x JOIN m y ON x.day = y.day AND y.arm = 'N' AND x.arm <> 'N' GROUP BY 1
+""")
+def control_deltas(spark, d):
+    lines = table(spark, d, "lineitem", "l_shipdate", "l_returnflag", "l_quantity")
+    m = lines.groupBy(F.col("l_shipdate").cast("date").alias("day"), F.col("l_returnflag").alias("arm")).agg(F.avg("l_quantity").alias("v"))
+    return panel.paired_deltas(m, ["day"], "arm", "v", "N").withColumn("mean_delta", off_grid(F.col("mean_delta")))
