@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators import panel, quality, values
-from ..sources import table
+from ..operators import fits, matching, panel, quality, values
+from ..sources import markup, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -683,3 +683,156 @@ def control_deltas(spark, d):
     lines = table(spark, d, "lineitem", "l_shipdate", "l_returnflag", "l_quantity")
     m = lines.groupBy(F.col("l_shipdate").cast("date").alias("day"), F.col("l_returnflag").alias("arm")).agg(F.avg("l_quantity").alias("v"))
     return panel.paired_deltas(m, ["day"], "arm", "v", "N").withColumn("mean_delta", off_grid(F.col("mean_delta")))
+
+
+def cubic_sql(rows: str, keys: str, least: int, tails: tuple[float, float] | None, digits: int) -> str:
+    """Cubic fits on earlier cohorts from ``rows`` (keys, c, u, y): covariances of a theta join, solved by Cramer's rule."""
+    a = [["a11", "a12", "a13"], ["a12", "a22", "a23"], ["a13", "a23", "a33"]]
+    det = lambda m: "(" + " + ".join(f"{m[0][i]} * ({m[1][(i + 1) % 3]} * {m[2][(i + 2) % 3]} - {m[1][(i + 2) % 3]} * {m[2][(i + 1) % 3]})" for i in range(3)) + ")"
+    beta = [f"{det([[f'b{i + 1}' if j == k else a[i][j] for j in range(3)] for i in range(3)])} / {det(a)} AS k{k + 1}" for k in range(3)]
+    cov = [f"covar_pop(u ** {i}, u ** {j}) AS a{i}{j}" for i in (1, 2, 3) for j in range(i, 4)] + [f"covar_pop(u ** {i}, y) AS b{i}" for i in (1, 2, 3)] + [f"avg(u ** {i}) AS m{i}" for i in (1, 2, 3)]
+    bounds = f", quantile_cont(u, {tails[0]}) AS lo, quantile_cont(u, {tails[1]}) AS hi" if tails else ", min(u) - 1e9 AS lo, max(u) + 1e9 AS hi"
+    return f"""
+WITH l AS ({rows}), k AS (SELECT DISTINCT c FROM l),
+f AS (SELECT k.c AS cohort, count(*) AS n, avg(y) AS my, var_pop(y) AS vy, {", ".join(cov)}{bounds} FROM k JOIN l p ON p.c < k.c GROUP BY 1 HAVING count(*) >= {least}),
+g AS (SELECT *, {", ".join(beta)} FROM f), h AS (SELECT *, my - k1 * m1 - k2 * m2 - k3 * m3 AS k0, sqrt((vy - k1 * b1 - k2 * b2 - k3 * b3) * n / (n - 1)) AS sd FROM g),
+e AS (SELECT l.*, sd, least(greatest(u, lo), hi) AS v, k0 + k1 * v + k2 * v ** 2 + k3 * v ** 3 AS e FROM l LEFT JOIN h ON c = cohort)
+SELECT {keys}, round(y - e + 1.37e-5, {digits}) AS residual, round((y - e) / sd + 1.37e-5, 4) AS z FROM e"""
+
+
+@query(cubic_sql("SELECT l_orderkey, l_linenumber, year(l_shipdate) AS c, (l_quantity - 25) / 25 AS u, l_extendedprice AS y FROM lineitem", "l_orderkey, l_linenumber", 500, (0.005, 0.995), 2))
+def expanding_cubic(spark, d):
+    rows = table(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_shipdate", "l_quantity", "l_extendedprice").withColumn("c", F.year("l_shipdate"))
+    f = fits.expanding_cubic(rows, "c", "l_quantity", "l_extendedprice", 25.0, 25.0, 500, (0.005, 0.995))
+    return f.select("l_orderkey", "l_linenumber", F.round(F.col("residual") + F.lit(1.37e-5), 2).alias("residual"), off_grid(F.col("z")).alias("z"))
+
+
+@query(cubic_sql("SELECT o_orderkey, year(o_orderdate) AS c, (ln(o_totalprice) - 11) / 2 AS u, count(*)::DOUBLE AS y FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE o_totalprice > 0 GROUP BY ALL", "o_orderkey", 200, None, 4))
+def log_cubic_expected(spark, d):
+    orders = table(spark, d, "orders", "o_orderkey", "o_orderdate", "o_totalprice").where("o_totalprice > 0")
+    n = table(spark, d, "lineitem", "l_orderkey").groupBy("l_orderkey").agg(F.count(F.lit(1)).cast("double").alias("lines"))
+    rows = orders.join(n, F.col("o_orderkey") == F.col("l_orderkey")).select("o_orderkey", F.year("o_orderdate").alias("c"), F.log("o_totalprice").alias("x"), "lines")
+    f = fits.expanding_cubic(rows, "c", "x", "lines", 11.0, 2.0, 200)
+    return f.select("o_orderkey", off_grid(F.col("residual")).alias("residual"), off_grid(F.col("z")).alias("z"))
+
+
+@query("""
+WITH RECURSIVE o AS (SELECT o_custkey, count(*) AS c, sum(o_totalprice) AS v, max(o_totalprice) AS top FROM orders GROUP BY 1),
+r AS (SELECT c_custkey AS k, c_nationkey < 20 AS train, CASE WHEN c_custkey % 7 <> 0 THEN coalesce(c, 0) END AS n, v, CASE WHEN c_custkey % 5 <> 0 THEN -top END AS w FROM customer LEFT JOIN o ON o_custkey = c_custkey),
+s AS (SELECT avg(n) AS mn, stddev_samp(n) AS sn, avg(v) AS mv, stddev_samp(v) AS sv, avg(w) AS mw, stddev_samp(w) AS sw FROM r WHERE train),
+z AS (SELECT k, train, (n - mn) / sn AS a, (v - mv) / sv AS b, -(w - mw) / sw AS c FROM r, s),
+m AS (SELECT covar_samp(a, a) AS aa, covar_samp(a, b) AS ab, covar_samp(a, c) AS ac, covar_samp(b, b) AS bb, covar_samp(b, c) AS bc, covar_samp(c, c) AS cc FROM z WHERE train AND a IS NOT NULL AND b IS NOT NULL AND c IS NOT NULL),
+p AS (SELECT 0 AS i, 0.6e0 AS x, 0.6e0 AS y, 0.6e0 AS q UNION ALL
+  SELECT i + 1, (aa * x + ab * y + ac * q) / t, (ab * x + bb * y + bc * q) / t, (ac * x + bc * y + cc * q) / t
+  FROM (SELECT *, sqrt((aa * x + ab * y + ac * q) ** 2 + (ab * x + bb * y + bc * q) ** 2 + (ac * x + bc * y + cc * q) ** 2) AS t FROM p, m WHERE i < 400))
+SELECT k, CASE WHEN (a IS NOT NULL)::INT + (b IS NOT NULL)::INT + (c IS NOT NULL)::INT >= 2 THEN round(coalesce(a, 0) * x + coalesce(b, 0) * y + coalesce(c, 0) * q + 1.37e-5, 4) END AS pc1 FROM z, p WHERE i = 400
+""")
+def first_component(spark, d):
+    o = table(spark, d, "orders", "o_custkey", "o_orderkey", "o_totalprice").groupBy("o_custkey").agg(F.count("o_orderkey").alias("n"), F.sum("o_totalprice").alias("v"), F.max("o_totalprice").alias("w"))
+    c = table(spark, d, "customer", "c_custkey", "c_nationkey").join(o, F.col("c_custkey") == F.col("o_custkey"), "left")
+    rows = c.select(F.col("c_custkey").alias("k"), "c_nationkey", F.when(F.col("c_custkey") % 7 != 0, F.coalesce("n", F.lit(0))).alias("n"), "v", F.when(F.col("c_custkey") % 5 != 0, -F.col("w")).alias("w"))
+    return fits.first_component(rows, ["n", "v", "w"], [1, 1, -1], 2, "pc1", F.col("c_nationkey") < 20).select("k", off_grid(F.col("pc1")).alias("pc1"))
+
+
+@query()
+def ridge_ratings(spark, d):
+    """Nations rated by quantities over 25 in lines between customer's and supplier's, a season a year."""
+    lines = table(spark, d, "lineitem", "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_returnflag")
+    orders = table(spark, d, "orders", "o_orderkey", "o_custkey", "o_orderdate")
+    sides = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(table(spark, d, "customer", "c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey")).join(table(spark, d, "supplier", "s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
+    place = F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "R", -1).otherwise(0)
+    games = sides.select(F.year("o_orderdate").alias("season"), F.struct("l_orderkey", "l_linenumber").alias("game"), "c_nationkey", "s_nationkey", (F.col("l_quantity") - 25).alias("margin"), place.alias("place"))
+    return fits.ridge_ratings(games, "season", "game", "c_nationkey", "s_nationkey", "margin", "place").withColumn("rating", r6(F.col("rating")))
+
+
+@query("""
+WITH a AS (SELECT l_orderkey, l_suppkey AS s, l_quantity >= 10 AS alive, l_quantity >= 10 AND l_returnflag = 'R' AS f, l_quantity >= 10 AND l_extendedprice > 50000 AS g FROM lineitem),
+n AS (SELECT l_orderkey, count(DISTINCT s) FILTER (alive) AS n, min(s) FILTER (alive) AS s, count(DISTINCT s) FILTER (f) AS nf, min(s) FILTER (f) AS sf, count(DISTINCT s) FILTER (g) AS ng, min(s) FILTER (g) AS sg FROM a GROUP BY 1)
+SELECT l_orderkey, CASE WHEN nf = 1 THEN sf WHEN ng = 1 THEN sg WHEN n = 1 THEN s END AS l_suppkey, CASE WHEN nf = 1 THEN 'returned' WHEN ng = 1 THEN 'dear' WHEN n = 1 THEN 'sole' WHEN n = 0 THEN 'none left' ELSE 'ambiguous' END AS decided_by FROM n
+""")
+def evidence_cascade(spark, d):
+    lines = table(spark, d, "lineitem", "l_orderkey", "l_suppkey", "l_quantity", "l_returnflag", "l_extendedprice")
+    return matching.cascade(lines, "l_orderkey", "l_suppkey", [("small", "reject", F.col("l_quantity") < 10), ("returned", "agree", F.col("l_returnflag") == "R"), ("dear", "agree", F.col("l_extendedprice") > 50000)])
+
+
+@query()
+def tolerance_events(spark, d):
+    """Lines of a part as events: quantities within 3 and discounts within 0.01 belong together unless their statuses, where told, differ."""
+    lines = table(spark, d, "lineitem", "l_partkey", "l_returnflag", "l_linestatus", "l_quantity", "l_discount")
+    rows = lines.withColumn("source", F.when(F.col("l_quantity") > 25, F.col("l_linestatus")))
+    return matching.tolerance_clusters(rows, ["l_partkey"], "l_returnflag", "source", {"l_quantity": 3.0, "l_discount": 0.01})
+
+
+@query()
+def similar_names(spark, d):
+    """Parts of one brand, type and size with names alike in 0.85 or more of their characters."""
+    p = table(spark, d, "part", "p_partkey", "p_name", "p_brand", "p_type", "p_size")
+    by = ["p_brand", "p_type", "p_size"]
+    pairs = p.select(*by, F.col("p_partkey").alias("a"), F.col("p_name").alias("m")).join(p.select(*by, F.col("p_partkey").alias("b"), F.col("p_name").alias("n")), by).where("a < b")
+    return matching.similar(pairs, "m", "n").select("a", "b", r6(F.col("ratio")).alias("ratio"))
+
+
+def _order_cells():
+    """Cells of an order in one of two layouts, by its customer."""
+    key, total, status = (F.col(c).cast("string") for c in ("o_orderkey", "o_totalprice", "o_orderstatus"))
+    return F.when(F.col("o_custkey") % 2 == 0, F.array(key, total, status)).otherwise(F.array(status, key, total)).alias("cells")
+
+
+def _layout():
+    return F.when(F.col("o_custkey") % 2 == 0, F.array(*map(F.lit, ("Order &amp; Key", "Total  Price", "Status")))).otherwise(F.array(*map(F.lit, ("STATUS", "Order &amp; Key", "Price"))))
+
+
+NAMES = {"order & key": "key", "total price": "total", "price": "total", "status": "status"}
+
+
+@query("SELECT o_custkey, o_orderkey AS key, o_totalprice AS total, o_orderstatus AS status FROM orders")
+def html_order_tables(spark, d):
+    """Pages with a table a customer, in two layouts, read back by their headers."""
+    rows = table(spark, d, "orders", "o_custkey", "o_orderkey", "o_totalprice", "o_orderstatus").groupBy("o_custkey").agg(F.collect_list(_order_cells()).alias("rows"))
+    tr = lambda cells, tag: F.concat(F.lit("<tr>"), F.array_join(F.transform(cells, lambda c: F.concat(F.lit(f"<{tag}>"), c, F.lit(f"</{tag}>"))), ""), F.lit("</tr>"))
+    page = F.concat(F.lit("<p>x</p><table>"), tr(_layout(), "th"), F.array_join(F.transform("rows", lambda r: tr(r, "td")), ""), F.lit("</table>"))
+    cells = markup.html_tables(rows.select("o_custkey", page.alias("html")), "o_custkey", "html")
+    # A table's header row and its rows share a customer's key.
+    head = cells.where("is_header").select("o_custkey", "table_no", F.col("cells").alias("header"))
+    m = cells.where("not is_header").join(head, ["o_custkey", "table_no"]).select("o_custkey", markup.by_header(F.col("header"), F.col("cells"), NAMES).alias("m"))
+    return m.select("o_custkey", F.col("m")["key"].cast("long").alias("key"), F.col("m")["total"].cast("double").alias("total"), F.col("m")["status"].alias("status"))
+
+
+@query("SELECT o_custkey, o_orderkey AS key, o_totalprice AS total, CASE WHEN o_custkey % 2 = 0 THEN o_orderstatus END AS status FROM orders")
+def wikitext_order_tables(spark, d):
+    """Wikitext a customer, with a header row for even keys and none for odd ones, whose cells go by position."""
+    o = table(spark, d, "orders", "o_custkey", "o_orderkey", "o_totalprice", "o_orderstatus")
+    even = F.col("o_custkey") % 2 == 0
+    cells = F.when(even, F.array(F.col("o_orderstatus"), F.concat(F.lit('align="right" | '), F.col("o_orderkey").cast("string")), F.col("o_totalprice").cast("string"))).otherwise(F.array(F.col("o_orderkey").cast("string"), F.col("o_totalprice").cast("string")))
+    rows = o.groupBy("o_custkey").agg(F.collect_list(F.concat(F.lit("|-\n|"), F.array_join(cells, "||"))).alias("rows"))
+    text = F.concat(F.lit("== Orders ==\n{| class=x\n"), F.when(even, F.lit("! Status !! Order & Key !! Price\n")).otherwise(F.lit("")), F.array_join("rows", "\n"), F.lit("\n|}"))
+    found = markup.wikitext_tables(rows.select("o_custkey", text.alias("text")), "o_custkey", "text")
+    m = found.select("o_custkey", markup.by_header(F.col("header"), F.col("cells"), NAMES, {2: ["key", "total"]}).alias("m"))
+    return m.select("o_custkey", F.col("m")["key"].cast("long").alias("key"), F.col("m")["total"].cast("double").alias("total"), F.col("m")["status"].alias("status"))
+
+
+@query("SELECT event_id, try_cast(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events")
+def embedded_objects(spark, d):
+    page = F.concat(F.lit("<script>var data = [1]; data = "), F.col("props"), F.lit("; var other = {\"k\": -1}</script>"))
+    found = markup.embedded_object(page, r"data\s*=\s*")
+    return table(spark, d, "events", "event_id", "props").select("event_id", values.number(F.get_json_object(found, "$.k")).alias("k"))
+
+
+@query("""
+SELECT c_custkey, unnest(CASE WHEN c_mktsegment IN ('BUILDING', 'MACHINERY') THEN ['nation', 'balance'] ELSE ['balance', 'nation'] END) AS label, unnest([c_acctbal, c_nationkey::DOUBLE]) AS value FROM customer
+""")
+def banner_grid(spark, d):
+    grid = markup.by_banner(F.col("c_mktsegment"), F.array("c_acctbal", F.col("c_nationkey").cast("double")), [("^(BUILDING|MACHINERY)$", ["nation", "balance"])], ["balance", "nation"])
+    return table(spark, d, "customer", "c_custkey", "c_mktsegment", "c_acctbal", "c_nationkey").select("c_custkey", F.explode(grid).alias("label", "value"))
+
+
+@query(r"""
+WITH h AS (SELECT page_id, regexp_extract_all(html, '<h([1-6])[^>]*>([^<]*)</h[1-6]>', 1) AS l, regexp_extract_all(html, '<h([1-6])[^>]*>([^<]*)</h[1-6]>', 2) AS t, string_split_regex(html, '<h[1-6][^>]*>[^<]*</h[1-6]>') AS b FROM pages),
+s AS (SELECT page_id, unnest(range(1, len(l) + 1)) AS i, unnest(l)::INT AS level, trim(unnest(t)) AS title FROM h),
+o AS (SELECT x.page_id, x.i, x.level, y.i AS j, y.title FROM s x JOIN s y ON x.page_id = y.page_id AND y.i <= x.i AND NOT EXISTS (SELECT 1 FROM s m WHERE m.page_id = x.page_id AND m.i > y.i AND m.i <= x.i AND m.level <= y.level)),
+p AS (SELECT page_id, i, level, string_agg(title, ' / ' ORDER BY j) AS path FROM o GROUP BY ALL UNION ALL SELECT page_id, 0, 0, '' FROM pages WHERE html IS NOT NULL)
+SELECT p.page_id, level, path, length(b[i + 1])::INT AS n_body FROM p JOIN h ON p.page_id = h.page_id
+""")
+def heading_tree(spark, d):
+    tree = markup.section_tree(F.col("html"), r"<h([1-6])[^>]*>([^<]*)</h[1-6]>", 1, 2)
+    return table(spark, d, "pages", "page_id", "html").select("page_id", F.explode(tree).alias("s")).select("page_id", "s.level", F.array_join("s.path", " / ").alias("path"), F.char_length("s.body").alias("n_body"))
