@@ -697,7 +697,7 @@ WITH l AS ({rows}), k AS (SELECT DISTINCT c FROM l),
 f AS (SELECT k.c AS cohort, count(*) AS n, avg(y) AS my, var_pop(y) AS vy, {", ".join(cov)}{bounds} FROM k JOIN l p ON p.c < k.c GROUP BY 1 HAVING count(*) >= {least}),
 g AS (SELECT *, {", ".join(beta)} FROM f), h AS (SELECT *, my - k1 * m1 - k2 * m2 - k3 * m3 AS k0, sqrt((vy - k1 * b1 - k2 * b2 - k3 * b3) * n / (n - 1)) AS sd FROM g),
 e AS (SELECT l.*, sd, least(greatest(u, lo), hi) AS v, k0 + k1 * v + k2 * v ** 2 + k3 * v ** 3 AS e FROM l LEFT JOIN h ON c = cohort)
-SELECT {keys}, round(y - e + 1.37e-5, {digits}) AS residual, round((y - e) / sd + 1.37e-5, 4) AS z FROM e"""
+SELECT {keys}, round(y - e + 1.37e-5, {digits}) + 0 AS residual, round((y - e) / sd + 1.37e-5, 4) + 0 AS z FROM e"""
 
 
 @query(cubic_sql("SELECT l_orderkey, l_linenumber, year(l_shipdate) AS c, (l_quantity - 25) / 25 AS u, l_extendedprice AS y FROM lineitem", "l_orderkey, l_linenumber", 500, (0.005, 0.995), 2))
@@ -725,7 +725,7 @@ m AS (SELECT covar_samp(a, a) AS aa, covar_samp(a, b) AS ab, covar_samp(a, c) AS
 p AS (SELECT 0 AS i, 0.6e0 AS x, 0.6e0 AS y, 0.6e0 AS q UNION ALL
   SELECT i + 1, (aa * x + ab * y + ac * q) / t, (ab * x + bb * y + bc * q) / t, (ac * x + bc * y + cc * q) / t
   FROM (SELECT *, sqrt((aa * x + ab * y + ac * q) ** 2 + (ab * x + bb * y + bc * q) ** 2 + (ac * x + bc * y + cc * q) ** 2) AS t FROM p, m WHERE i < 400))
-SELECT k, CASE WHEN (a IS NOT NULL)::INT + (b IS NOT NULL)::INT + (c IS NOT NULL)::INT >= 2 THEN round(coalesce(a, 0) * x + coalesce(b, 0) * y + coalesce(c, 0) * q + 1.37e-5, 4) END AS pc1 FROM z, p WHERE i = 400
+SELECT k, CASE WHEN (a IS NOT NULL)::INT + (b IS NOT NULL)::INT + (c IS NOT NULL)::INT >= 2 THEN round(coalesce(a, 0) * x + coalesce(b, 0) * y + coalesce(c, 0) * q + 1.37e-5, 4) + 0 END AS pc1 FROM z, p WHERE i = 400
 """)
 def first_component(spark, d):
     o = table(spark, d, "orders", "o_custkey", "o_orderkey", "o_totalprice").groupBy("o_custkey").agg(F.count("o_orderkey").alias("n"), F.sum("o_totalprice").alias("v"), F.max("o_totalprice").alias("w"))
