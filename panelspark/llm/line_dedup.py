@@ -18,8 +18,8 @@ equal or neighbouring length) emit variants, and only of the other half. No pair
 Every found neighbour is verified with levenshtein() on the lines themselves.
 
 Scale: shuffles carry hashes and positions, not texts, but for one join that brings each document its
-list of lines to drop. The lines that share a half are read again by a broadcast of their hashes where
-those number at most ``few``, by a join otherwise.
+list of lines to drop. The halves that lines share are eight-byte hashes: where they number at most
+``few``, they are broadcast and the second reading of the lines shuffles nothing else; otherwise it joins.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from .common import cut
 
 MIN_NEAR = 20
-FEW = 200_000
+FEW = 2_000_000
 BLANKS = " \t\r\x0b\x0c"
 
 
@@ -54,13 +54,21 @@ def _halves(n: Column, role: int) -> list[Column]:
 def near_lines(lines: DataFrame, min_near: int = MIN_NEAR, few: int = FEW) -> DataFrame:
     """(h1, h2) of distinct lines of which an earlier line is within one edit."""
     length = F.char_length("line")
-    keyed = lines.where(length >= min_near).select("h1", "h2", F.explode(F.array(*_halves(length, 0), *_halves(length - 1, 1))).alias("k")).select("h1", "h2", "k.*")
-    shared = keyed.groupBy("n", "side", "half").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).where("a != b").select("n", "side", "half")
-    wanted = cut(keyed.join(shared, ["n", "side", "half"], "left_semi").distinct())
-    ids = wanted.select("h1", "h2").distinct()
-    ids = F.broadcast(ids) if wanted.count() <= few else ids
-    first = Window.partitionBy("h1", "h2").orderBy("doc_id", "text_key", "line_no")
-    texts = cut(lines.join(ids, ["h1", "h2"], "left_semi").withColumn("_r", F.row_number().over(first)).where("_r = 1").select("h1", "h2", "line", F.struct("doc_id", "text_key", "line_no", "h1", "h2").alias("at")))
+    whole, less = _halves(length, 0), _halves(length - 1, 1)
+    key = lambda half: F.xxhash64(half["side"], half["half"])
+    long = lines.where(length >= min_near)
+    # Of the four halves two are the same text: the first ones of an odd length, the last ones of an even one.
+    three = F.array(key(whole[0]), key(whole[1]), F.when(length % 2 == 1, key(less[1])).otherwise(key(less[0])))
+    shared = cut(long.select("h1", F.explode(three).alias("k")).groupBy("k").agg(F.min("h1").alias("a"), F.max("h1").alias("b")).where("a != b").select("k"))
+    where = ["h1", "h2", "n", "side", "half", "role"]
+    at = F.struct("doc_id", "text_key", "line_no", "h1", "h2")
+    keyed = long.select("*", F.explode(F.array(*whole, *less)).alias("x")).select(*lines.columns, "x.*").withColumn("k", F.xxhash64("side", "half"))
+    if shared.count() <= few:
+        wanted = cut(keyed.join(F.broadcast(shared), "k", "left_semi").groupBy(*where).agg(F.min(at).alias("at"), F.min("line").alias("line")))
+    else:
+        places = cut(keyed.join(shared, "k", "left_semi").select(*where).distinct())
+        texts = lines.join(places.select("h1", "h2").distinct(), ["h1", "h2"], "left_semi").groupBy("h1", "h2").agg(F.min(at).alias("at"), F.min("line").alias("line"))
+        wanted = cut(places.join(texts, ["h1", "h2"]))
     s = (F.col("n") / 2).cast("int")
     # What stands beside the shared half: the second half for side 0, the first for side 1, with one more code point for role 1.
     other = F.when(F.col("side") == 0, F.substring("line", s + 1, F.col("n") - s + F.col("role"))).otherwise(F.substring("line", F.lit(1), s + F.col("role")))
@@ -69,18 +77,20 @@ def near_lines(lines: DataFrame, min_near: int = MIN_NEAR, few: int = FEW) -> Da
     # place >= 0: one deleted there from a line of the length itself; -1: the shorter line whole, or the longer one less any code point.
     own = F.concat(F.array(F.struct(F.lit(-1).alias("place"), F.xxhash64("other").alias("v"))), F.transform(places, lambda i: F.struct(i.alias("place"), variant(i).alias("v"))))
     longer = F.transform(places, lambda i: F.struct(F.lit(-1).alias("place"), variant(i).alias("v")))
+    # One hash of all that must agree is the key: rows are small and sort by one number.
     emitted = (
-        wanted.join(texts, ["h1", "h2"]).withColumn("other", other).where(F.char_length("other") > 0)
-        .select("h1", "h2", "at", "n", "side", "half", "role", F.explode(F.when(F.col("role") == 0, own).otherwise(longer)).alias("x"))
-        .select("h1", "h2", "at", "n", "side", "half", "role", "x.place", "x.v")
+        wanted.withColumn("other", other).where(F.char_length("other") > 0)
+        .select("at", "n", "side", "half", "role", F.explode(F.when(F.col("role") == 0, own).otherwise(longer)).alias("x"))
+        .select("at", "role", (F.col("x.place") >= 0).alias("placed"), F.xxhash64("n", "side", "half", "x.place", "x.v").alias("k"))
     )
-    key = Window.partitionBy("n", "side", "half", "place", "v")
-    whole, less = F.min(F.when(F.col("role") == 0, F.col("at"))).over(key), F.min(F.when(F.col("role") == 1, F.col("at"))).over(key)
-    earlier = F.when((F.col("place") >= 0) | (F.col("role") == 1), whole).otherwise(less)
-    found = emitted.withColumn("by", earlier).where("by < at").select("h1", "h2", F.col("by.h1").alias("b1"), F.col("by.h2").alias("b2")).distinct()
+    by_key = Window.partitionBy("k")
+    of_length, of_more = F.min(F.when(F.col("role") == 0, F.col("at"))).over(by_key), F.min(F.when(F.col("role") == 1, F.col("at"))).over(by_key)
+    earlier = F.when(F.col("placed") | (F.col("role") == 1), of_length).otherwise(of_more)
+    found = emitted.withColumn("by", earlier).where("by < at").select("at.h1", "at.h2", F.col("by.h1").alias("b1"), F.col("by.h2").alias("b2")).distinct()
+    texts = wanted.select("h1", "h2", "line").distinct()
     other_texts = texts.select(F.col("h1").alias("b1"), F.col("h2").alias("b2"), F.col("line").alias("b_line"))
     proven = F.levenshtein("line", "b_line", 1)
-    return found.join(texts.select("h1", "h2", "line"), ["h1", "h2"]).join(other_texts, ["b1", "b2"]).where((proven >= 0) & (proven <= 1)).select("h1", "h2").distinct()
+    return found.join(texts, ["h1", "h2"]).join(other_texts, ["b1", "b2"]).where((proven >= 0) & (proven <= 1)).select("h1", "h2").distinct()
 
 
 def dropped_lines(docs: DataFrame, min_near: int = MIN_NEAR, few: int = FEW) -> DataFrame:
@@ -108,7 +118,9 @@ def dedup_lines(docs: DataFrame, min_near: int = MIN_NEAR, few: int = FEW) -> Da
     gone = dropped_lines(docs.select("doc_id", "text"), min_near, few).distinct()
     gone = gone.groupBy("doc_id", "text_key").agg(F.collect_list("line_no").alias("_gone"), F.sum(F.col("near").cast("int")).alias("_near")).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "_gone", "_near")
     kept = docs.join(gone, docs["doc_id"].eqNullSafe(gone["_id"]) & (F.xxhash64(docs["text"]) == gone["_key"]), "left")
-    split = F.split(F.col("text"), "\n", -1)
+    # A column of its own, as a lambda would split again for each line.
+    kept = kept.withColumn("_split", F.split(F.col("text"), "\n", -1))
+    split = F.col("_split")
     stay = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col("_gone"))
     text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(stay, lambda i: F.get(split, i)), "\n"))
     n_lines = F.size(F.filter(split, lambda x: F.btrim(x, F.lit(BLANKS)) != ""))
