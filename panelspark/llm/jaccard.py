@@ -23,8 +23,9 @@ places that can be such. Sets with equal emitted shingles and size are one group
    them, two buckets or more a shingle. Bits that differ are a lower bound of the shingles that do, so
    a pair with more of them than linked sets may have is refused without its texts, and no link is
    lost. The rest is checked on the sets themselves, rebuilt from the whole texts.
-4. The rest of the long runs: after contracting what is proven, only shingles and groups whose sets
-   still lie in different components are left; those pairs are expanded to members and verified too.
+4. The rest: after contracting what is proven, only shingles of long runs and group pairs of which
+   sets still lie in different components are left; those pairs are expanded to members and verified
+   too.
 
 So every pair that could link is either verified or already connected; no link between components is
 lost, while copies, however many, cost a pair each.
@@ -349,14 +350,17 @@ def jaccard_components(docs: DataFrame, n: int = N, percent: int = PERCENT, most
     found = components(links)
     # What is left: members of a long run's groups, or of a short run's group pair, in different components.
     of = member.join(found, member["set_id"] == found["node"], "left").select("set_id", "grp", F.coalesce("root", "set_id").alias("root"))
-    span = of.groupBy("grp").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+    span = of.groupBy("grp").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("members"))
     runs = long.join(span, "grp")
     open_ = runs.groupBy("token").agg(F.min("lo").alias("l"), F.max("hi").alias("h")).where("l != h").select("token")
     left = runs.join(open_, "token")
     x, y = left.alias("x"), left.alias("y")
     in_runs = x.join(y, F.col("x.token") == F.col("y.token")).where("x.grp < y.grp and (x.lo != x.hi or y.lo != y.hi or x.lo != y.lo)").where(fits(F.col("x.n"), F.col("x.pos"), F.col("y.n"), F.col("y.pos"))).select(F.col("x.grp").alias("a"), F.col("y.grp").alias("b"))
     split = span.where("lo != hi").select("grp")
-    rest_pairs = group_pairs.join(split.withColumnRenamed("grp", "a"), "a", "left_semi").unionByName(group_pairs.join(split.withColumnRenamed("grp", "b"), "b", "left_semi")).unionByName(in_runs).unionByName(split.select(F.col("grp").alias("a"), F.col("grp").alias("b"))).distinct()
+    # Heads alone were tried across groups: of two groups not in one component, another member may link.
+    ends = [span.select(F.col("grp").alias(g), *(F.col(c).alias(f"{c}_{g}") for c in ("lo", "hi", "members"))) for g in "ab"]
+    apart = group_pairs.join(ends[0], "a").join(ends[1], "b").where("(members_a > 1 or members_b > 1) and (lo_a != hi_a or lo_b != hi_b or lo_a != lo_b)").select("a", "b")
+    rest_pairs = apart.unionByName(in_runs).unionByName(split.select(F.col("grp").alias("a"), F.col("grp").alias("b"))).distinct()
     wide = rest_pairs.join(of.select(F.col("grp").alias("a"), F.col("set_id").alias("x"), F.col("root").alias("rx")), "a").join(of.select(F.col("grp").alias("b"), F.col("set_id").alias("y"), F.col("root").alias("ry")), "b").where("rx != ry")
     more_pairs = wide.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     tried = inner.unionByName(across).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))

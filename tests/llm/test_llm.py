@@ -67,6 +67,26 @@ def test_jaccard_against_brute_force(spark):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got.collect()} == plain_components(rows)
 
 
+def test_jaccard_links_of_members_that_are_not_heads(spark):
+    rng = random.Random(11)
+    order = jaccard.Order(np.empty(0, np.int64), np.empty(0, np.int64), 5)
+    rows, chains = [], 0
+    while chains < 4:
+        a1 = [f"v{rng.randrange(10**9)}" for _ in range(104)]
+        a2 = [*a1[:20], "x", *a1[21:]]
+        b = [*a2[:50], "y", *a2[51:80], "z", *a2[81:]]
+        h1, h2, h3 = (jaccard.shingles(" ".join(t)) for t in (a1, a2, b))
+        p1, p2, p3 = (order.prefix(h)[0].tolist() for h in (h1, h2, h3))
+        # The head of the group of a1 and a2 is the one that doesn't link with b.
+        if p1 == p2 != p3 and jaccard.set_id(h1) < jaccard.set_id(h2):
+            rows += [(10 * chains + k, " ".join(t)) for k, t in enumerate((a1, a2, b))]
+            chains += 1
+    got = jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"))
+    want = plain_components(rows)
+    assert {root for _, root in want.values()} == {0, 10, 20, 30}
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got.collect()} == want
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 100 + i) for i in range(1, 50)] + [(rng.randint(200, 400), rng.randint(200, 400)) for _ in range(150)]
