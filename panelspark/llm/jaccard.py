@@ -297,7 +297,7 @@ def _verified(batches: Iterator[pa.RecordBatch], n: int, percent: int) -> Iterat
 
 
 def jaccard_components(docs: DataFrame, n: int = N, percent: int = PERCENT, most_often: int = MOST_OFTEN, few: int = FEW) -> DataFrame:
-    """doc_id, text_key, n_shingles, component_id (least doc_id reachable by links) for each row.
+    """doc_id, text_key, n_shingles, component_id (least doc_id reachable by links), root (the component itself, by its least set; null without words) for each row.
 
     Nulls: a null text has no words; a null doc_id is less than none and names a component only if
     all its ids are null. Empty texts have an empty set and link with nothing. Repeated rows link as
@@ -369,9 +369,9 @@ def jaccard_components(docs: DataFrame, n: int = N, percent: int = PERCENT, most
 
     rooted = sets.join(found, sets["set_id"] == found["node"], "left").select("set_id", "least", F.coalesce("root", "set_id").alias("root"))
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(names, "root").groupBy("set_id").agg(F.min("component_id").alias("component_id"))
-    out = placed.where("n_shingles > 0").join(named, "set_id").select("doc_id", "text_key", F.col("n_shingles").cast("long").alias("n_shingles"), "component_id")
-    alone = placed.where("n_shingles = 0").select("doc_id", "text_key", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    named = rooted.join(names, "root").groupBy("set_id").agg(F.min("component_id").alias("component_id"), F.min("root").alias("root"))
+    out = placed.where("n_shingles > 0").join(named, "set_id").select("doc_id", "text_key", F.col("n_shingles").cast("long").alias("n_shingles"), "component_id", "root")
+    alone = placed.where("n_shingles = 0").select("doc_id", "text_key", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("root"))
     return out.unionByName(alone)
 
 
@@ -395,9 +395,9 @@ def _links(rows: DataFrame, sets: DataFrame, pairs: DataFrame, n: int, percent:
 
 
 def keep_one(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """One row of each component: its least by (doc_id, text key); rows without words all stay."""
+    """One row of each component: its least by (doc_id, text key); rows without words all stay. Components go by their root: null or repeated ids may name several."""
     words = found.where("n_shingles > 0")
-    one = words.groupBy("component_id").agg(F.min(F.struct("doc_id", "text_key")).alias("one"), F.count(F.lit(1)).alias("c")).select(F.col("one.doc_id").alias("_id"), F.col("one.text_key").alias("_key"))
+    one = words.groupBy("root").agg(F.min(F.struct("doc_id", "text_key")).alias("one"), F.count(F.lit(1)).alias("c")).select(F.col("one.doc_id").alias("_id"), F.col("one.text_key").alias("_key"))
     empty = found.where("n_shingles = 0").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
     kept = one.unionByName(empty.distinct())
     out = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_id"]) & (F.xxhash64(docs["text"]) == kept["_key"]), "left_semi")

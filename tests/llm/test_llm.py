@@ -87,6 +87,14 @@ def test_jaccard_links_of_members_that_are_not_heads(spark):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got.collect()} == want
 
 
+def test_keep_one_with_null_and_repeated_ids(spark):
+    texts = [" ".join(f"{c}{k}" for k in range(30)) for c in "abcdef"]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (None, texts[2]), (7, texts[3]), (7, texts[4]), (8, texts[5]), (9, texts[5]), (9, texts[3]), (None, ""), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r) for r in jaccard.keep_one(docs, corpus_pipeline.cut(jaccard.jaccard_components(docs))).collect()]
+    assert sorted(got, key=str) == sorted([(None, texts[0]), (None, texts[1]), (None, texts[2]), (7, texts[3]), (7, texts[4]), (8, texts[5]), (None, ""), (None, None)], key=str)
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 100 + i) for i in range(1, 50)] + [(rng.randint(200, 400), rng.randint(200, 400)) for _ in range(150)]
