@@ -1,27 +1,26 @@
-"""HTML extraction by wrapper induction: pages of a host are aligned to find template and content.
+"""HTML extraction by wrapper induction: the pages of a host are compared to find template and content.
 
-Each page becomes a small tree of block elements with their own text. Up to REFERENCES pages of the
-host, those least by seeded hashes of page_id, are its references. A page's tree is aligned with each
-of them by simple tree matching (the greatest number of pairs of nodes with equal labels that keep
-order and ancestry, by dynamic programming over children). A text that most references have, equal,
-at the matching node is template; what varies is a slot. A slot's role comes from the template nodes
+Each page becomes a small tree of block elements with their own text. A text's place is the labels
+(element and classes) from the root. All different pages of the host are counted: how many have the
+place, and how many have the same text there equally often. A text that most of the other pages with
+its place have is template; what varies is a slot. A slot's role comes from the template nodes
 around it: navigation, headers, footers, asides, forms, adverts, notices and comments, by element,
 ARIA role, class or id, are not content. The content is what varies within the page's main region:
 its article or main element, if there is one, else the least subtree that holds most of the varying
-text. Within the region, constant text stays too. Without references, or if nothing varies (copies
+text. Within the region, constant text stays too. Without other pages, or if nothing varies (copies
 of one page), the roles alone decide.
 
-Scale: references travel as skeletons of a few hundred bytes (labels and text hashes), one row a
-host; a task keeps the least pages of each host before they meet. Pages meet their host's row in an
-inner equi-join, so that a hot host is split by adaptive execution. Pages are otherwise independent.
+Scale: pages are read twice. Texts travel as two hashes to where they are counted, once for equal
+pages; a host's row has its constant texts, of each place fewer than twice what a page has there.
+Pages meet their host's row in an inner equi-join, so that a hot host is split by adaptive execution.
 """
 
 from __future__ import annotations
 
 import html
-import json
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Collection, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,7 +28,6 @@ from pyspark.sql import functions as F
 
 from .common import cut, small_batches
 
-REFERENCES = 3
 MOST = 0.6
 WIDE = 250_000
 
@@ -270,25 +268,30 @@ def _landmark(node: Node, tag: str) -> list[Node]:
     return [x for c in node.children for x in _landmark(c, tag)]
 
 
-def extract(page: str | None, references: list[list]) -> str:
-    """The main text of a page, given its host's skeletons."""
+def marks(tree: Node) -> list[tuple[Node, int, int]]:
+    """(text node, place, key) in order: the place is the labels from the root; the key has the text and how often it stands at that place, too."""
+    found: list[tuple[Node, str]] = []
+
+    def walk(node: Node, path: str) -> None:
+        for c in node.children:
+            if c.tag == "#":
+                found.append((c, path))
+            else:
+                walk(c, f"{path}>{c.label}")
+
+    walk(tree, "")
+    times = Counter((path, x.text) for x, path in found)
+    return [(x, hash_of(path), hash_of(f"{path}\0{times[path, x.text]}\0{x.text}")) for x, path in found]
+
+
+def extract(page: str | None, many: Collection[int] = (), two: Collection[int] = ()) -> str:
+    """The main text of a page, given the keys of its host's constant texts (see ``constants``)."""
     tree = kept(parse(page))
-    leaves = _leaves(tree)
-    if not leaves:
+    marked = marks(tree)
+    if not marked:
         return ""
-    own = skeleton(tree)
-    votes: dict[int, int] = {}
-    used = 0
-    for ref in references:
-        if ref == own or ref[0] != own[0]:
-            continue  # a copy of the page tells nothing
-        pairs: dict[int, int] = {}
-        align(tree, ref, pairs)
-        used += 1
-        for leaf in leaves:
-            if pairs.get(id(leaf)) == hash_of(leaf.text):
-                votes[id(leaf)] = votes.get(id(leaf), 0) + 1
-    template = {k for k, n in votes.items() if 2 * n > used}
+    leaves = [x for x, _, _ in marked]
+    template = {id(x) for x, _, k in marked if k in many or k in two}
     varying = [x for x in leaves if id(x) not in template] or leaves
     chosen = {id(x) for x in varying}
     regions = _landmark(tree, "article") or _landmark(tree, "main")
@@ -310,35 +313,30 @@ def host_of(url):
     return F.lower(F.coalesce(F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//(?:[^/@?#]*@)?([^/:?#]+)", 1), F.lit("")))
 
 
-def references(pages: DataFrame, n: int = REFERENCES) -> DataFrame:
-    """(host, refs): JSON of the skeletons of up to ``n`` different pages of each host."""
+def constants(pages: DataFrame) -> DataFrame:
+    """(host, many, two): keys of the texts that stand, equal, on most of the host's other pages with their place; on three different pages or more, or on two."""
 
-    def least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        held: dict[tuple[str, int], tuple[int, str]] = {}
-
-        def out() -> pa.RecordBatch:
-            rows = [(h, i, k, json.dumps(skeleton(kept(parse(page))), separators=(",", ":"))) for (h, i), (k, page) in held.items()]
-            held.clear()
-            return pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate((pa.string(), pa.int32(), pa.int64(), pa.string()))], names=["host", "seed", "k", "skeleton"])
-
         for batch in batches:
-            for host, page_id, page in zip(*(batch.column(c).to_pylist() for c in ("host", "page_id", "html")), strict=True):
-                if not host or not page:
-                    continue
-                for i in range(n):
-                    k = xxhash.xxh3_64_intdigest(str(page_id), i) >> 1
-                    if (host, i) not in held or k < held[host, i][0]:
-                        held[host, i] = k, page
-            if sum(len(p) for _, p in held.values()) > 32 << 20:
-                yield out()
-        if held:
-            yield out()
-
-    rows = pages.mapInArrow(least, "host string, seed int, k long, skeleton string")
-    best = rows.groupBy("host", "seed").agg(F.min(F.struct("k", "skeleton"))["skeleton"].alias("s"))
-    return best.groupBy("host").agg(F.to_json(F.array_sort(F.collect_set("s"))).alias("refs"))
+            rows = []
+            for host, page in zip(*(batch.column(c).to_pylist() for c in ("host", "html")), strict=True):
+                marked = marks(kept(parse(page))) if host and page else []
+                if marked:
+                    own = xxhash.xxh3_64_intdigest(b"".join(k.to_bytes(8) for _, _, k in marked)) >> 1
+                    pairs = sorted({(p, k) for _, p, k in marked} | {(p, -1) for _, p, _ in marked})
+                    rows.append((host, own, [p for p, _ in pairs], [k for _, k in pairs]))
+            types = (pa.string(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate(types)], names=["host", "own", "places", "keys"])
+
+    rows = pages.mapInArrow(keys, "host string, own long, places array<long>, keys array<long>").dropDuplicates(["host", "own"])
+    each = rows.select("host", F.explode(F.arrays_zip("places", "keys")).alias("x")).select("host", F.col("x.places").alias("place"), F.col("x.keys").alias("key"))
+    counts = cut(each.groupBy("host", "place", "key").agg(F.count(F.lit(1)).alias("c")).where("c > 1"))
+    # Key -1 stands for the place itself.
+    of = counts.where("key = -1").select("host", "place", F.col("c").alias("n"))
+    most = counts.where("key != -1").join(of, ["host", "place"]).where("2 * (c - 1) > n - 1")
+    return most.groupBy("host").agg(*(F.collect_set(F.when(F.col("c") > 2 if many else F.col("c") == 2, F.col("key"))).alias("many" if many else "two") for many in (True, False)))
 
 
 def main_text(pages: DataFrame) -> DataFrame:
@@ -346,28 +344,21 @@ def main_text(pages: DataFrame) -> DataFrame:
 
     Nulls: null html is empty and gives an empty text; a null url has no host, so that roles alone
     decide; a null page_id is an id like others. Markup without text gives an empty text. Pages are
-    read whole. Ties: among references, equal hashes go to the lesser skeleton. Repeated rows repeat;
-    a copy of a page is no evidence for it. An empty table gives no rows. Other columns are ignored.
+    read whole. Repeated rows repeat; pages with equal texts at equal places count as one. An empty table gives no rows. Other columns are ignored.
     """
     small_batches(pages.sparkSession, 128)
     kind = dict(pages.dtypes)["page_id"]
     rows = pages.select("page_id", "url", F.coalesce(F.col("html"), F.lit("")).alias("html"), host_of(F.col("url")).alias("host"))
-    refs = cut(references(rows)).withColumnRenamed("host", "_h")
+    found = cut(constants(rows)).withColumnRenamed("host", "_h")
     some = rows.where("host != ''")
-    # Hosts without a usable page have no row of references.
-    joined = some.join(refs, some["host"] == refs["_h"], "left").select("page_id", "url", "html", "refs")
-    joined = joined.unionByName(rows.where("host = ''").select("page_id", "url", "html", F.lit(None).cast("string").alias("refs")))
+    # Hosts without constant texts have no row.
+    joined = some.join(found, some["host"] == found["_h"], "left").select("page_id", "url", "html", "many", "two")
+    none = F.lit(None).cast("array<long>")
+    joined = joined.unionByName(rows.where("host = ''").select("page_id", "url", "html", none.alias("many"), none.alias("two")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, list] = {}
         for batch in batches:
-            texts = []
-            for page, ref in zip(batch.column("html").to_pylist(), batch.column("refs").to_pylist(), strict=True):
-                if ref is not None and ref not in known:
-                    if len(known) > 500:
-                        known.clear()
-                    known[ref] = [json.loads(s) for s in json.loads(ref)]
-                texts.append(extract(page, known[ref] if ref is not None else []))
+            texts = [extract(page, set(many or ()), set(two or ())) for page, many, two in zip(*(batch.column(c).to_pylist() for c in ("html", "many", "two")), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
     return joined.mapInArrow(run, f"page_id {kind}, url string, text string, n_chars long")

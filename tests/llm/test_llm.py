@@ -229,6 +229,16 @@ def test_wrapper(spark):
     assert wrapper.main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_wrapper_learns_from_all_pages_of_a_host(spark):
+    # Forty layouts of four pages each on one host, without landmarks: each has its own constant texts.
+    page = '<div class="l{k}"><div class="top"><p>Rules of part {k}, which are longer than the story that follows them here.</p></div><div class="t"><h1>T {n}</h1><p>story {n} of some length</p></div></div>'
+    pages = [(n, "https://h.example/", page.format(k=n // 4, n=n)) for n in range(160)]
+    got = {r["page_id"]: r["text"] for r in wrapper.main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert got == {n: f"T {n} story {n} of some length" for n in range(160)}
+    one = wrapper.constants(spark.createDataFrame([("h", page.format(k=0, n=0))] * 3, "host string, html string"))
+    assert one.count() == 0  # copies are one page
+
+
 def test_pages_of_the_tables(spark):
     rows = spark.read.parquet(f"{SF}/pages.parquet").collect()
     got = {r["page_id"]: r["text"] for r in catalog.op3_main_text(spark, SF).collect()}
