@@ -6,9 +6,10 @@ place, and how many have the same text there equally often. A text that most of
 its place have is template; what varies is a slot. A slot's role comes from the template nodes
 around it: navigation, headers, footers, asides, forms, adverts, notices and comments, by element,
 ARIA role, class or id, are not content. The content is what varies within the page's main region:
-its article or main element, if there is one, else the least subtree that holds most of the varying
-text. Within the region, constant text stays too. Without other pages, or if nothing varies (copies
-of one page), the roles alone decide.
+its articles, or its main element without articles that hold less of the varying text than the rest
+of it; else the least subtree that holds most of the varying text. Within a region, text that only
+one other page shares stays, and all of it where template would be the greater part: such pages are
+copies. Without other pages, or if nothing varies, the roles alone decide.
 
 Scale: pages are read twice. Texts travel as two hashes to where they are counted, once for equal
 pages; a host's row has its constant texts, of each place fewer than twice what a page has there.
@@ -291,22 +292,38 @@ def extract(page: str | None, many: Collection[int] = (), two: Collection[int] =
     if not marked:
         return ""
     leaves = [x for x, _, _ in marked]
-    template = {id(x) for x, _, k in marked if k in many or k in two}
+    keys = {id(x): k for x, _, k in marked}
+    template = {i for i, k in keys.items() if k in many or k in two}
     varying = [x for x in leaves if id(x) not in template] or leaves
     chosen = {id(x) for x in varying}
-    regions = _landmark(tree, "article") or _landmark(tree, "main")
-    if not regions:
-        total = sum(len(x.text) for x in varying)
-        region = tree
-        while True:
-            inner = max(region.children, key=lambda c: sum(len(x.text) for x in _leaves(c) if id(x) in chosen), default=None)
-            if inner is None or inner.tag in ("#", "p") or sum(len(x.text) for x in _leaves(inner) if id(x) in chosen) < MOST * total:
-                break
-            region = inner
-        regions = [region]
-        if region is tree or region.tag in ("html", "body", "#root"):
-            return " ".join(x.text for x in varying)
-    return " ".join(x.text for r in regions for x in _leaves(r))
+    size = lambda nodes: sum(len(x.text) for x in nodes if id(x) in chosen)
+    articles, mains = ([x for r in _landmark(tree, tag) for x in _leaves(r)] for tag in ("article", "main"))
+    inside = {id(x) for x in articles}
+    if articles or not mains:
+        region = _region(tree, {i for i in chosen if i not in inside})
+        top = region is tree or region.tag in ("html", "body", "#root")
+    # Articles beside a larger story are teasers.
+    rest = [x for x in (mains or (_leaves(region) if not top else [])) if id(x) not in inside]
+    if articles and size(rest) <= size(articles):
+        rest = articles
+    elif not rest:
+        return " ".join(x.text for x in varying)
+    # Two pages that agree are small evidence against a region's text; and where most of it is on most pages, they are copies, not template.
+    own = [x for x in rest if keys[id(x)] not in many]
+    if 2 * sum(len(x.text) for x in own) < sum(len(x.text) for x in rest):
+        own = rest
+    return " ".join(x.text for x in own)
+
+
+def _region(tree: Node, chosen: set[int]) -> Node:
+    """The least subtree that holds most of the chosen texts."""
+    size = lambda node: sum(len(x.text) for x in _leaves(node) if id(x) in chosen)
+    total, region = size(tree), tree
+    while True:
+        inner = max(region.children, key=size, default=None)
+        if inner is None or inner.tag in ("#", "p") or not size(inner) or size(inner) < MOST * total:
+            return region
+        region = inner
 
 
 def host_of(url):

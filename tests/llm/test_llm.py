@@ -239,6 +239,19 @@ def test_wrapper_learns_from_all_pages_of_a_host(spark):
     assert one.count() == 0  # copies are one page
 
 
+def test_wrapper_regions_by_varying_text(spark):
+    boiler = "<body><article><h1>T {n}</h1><p>story {n} runs on</p><p>Write to us.</p></article></body>"
+    teasers = "<body><main><h1>T {n}</h1><div><p>the long story {n} of this page</p></div><article><p>see {n}</p></article><article><p>and {n}</p></article></main></body>"
+    copies = "<body><article><h1>T</h1><p>a long text that all copies share</p><p>{n}</p></article></body>"
+    pages = [(f"{h} {n}", f"https://{h}.example/", page.format(n=n)) for h, page in (("b", boiler), ("t", teasers), ("c", copies)) for n in range(6)] + [(f"two {n}", "https://two.example/", boiler.format(n=n)) for n in range(2)]
+    got = {r["page_id"]: r["text"] for r in wrapper.main_text(spark.createDataFrame(pages, "page_id string, url string, html string")).collect()}
+    for n in range(6):
+        assert got[f"b {n}"] == f"T {n} story {n} runs on"
+        assert got[f"t {n}"] == f"T {n} the long story {n} of this page"
+        assert got[f"c {n}"] == f"T a long text that all copies share {n}"
+    assert got["two 0"] == "T 0 story 0 runs on Write to us."  # one other page is small evidence
+
+
 def test_pages_of_the_tables(spark):
     rows = spark.read.parquet(f"{SF}/pages.parquet").collect()
     got = {r["page_id"]: r["text"] for r in catalog.op3_main_text(spark, SF).collect()}
