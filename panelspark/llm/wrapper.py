@@ -30,7 +30,6 @@ from pyspark.sql import functions as F
 from .common import cut, small_batches
 
 MOST = 0.6
-WIDE = 250_000
 
 # HTML's void elements, elements without content text, blocks, and names of what isn't an article.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -168,92 +167,12 @@ def kept(node: Node) -> Node:
     return out
 
 
-def skeleton(node: Node) -> list:
-    """[label, hash of the text or children]: what an alignment needs of a reference."""
-    if node.tag == "#":
-        return ["#", hash_of(node.text)]
-    return [node.label, [skeleton(c) for c in node.children]]
-
-
 def hash_of(text: str) -> int:
     import xxhash
 
     return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) >> 11
 
 
-def align(a: Node, b: list, pairs: dict[int, int]) -> None:
-    """Simple tree matching of a page's tree and a reference's skeleton; ``pairs`` gets the hash at the match of each text node."""
-    if a.tag == "#":
-        pairs[id(a)] = b[1]
-        return
-    for i, j in _children(a, b):
-        align(a.children[i], b[1][j], pairs)
-
-
-def _weight(a: Node, b: list, memo: dict) -> int:
-    """Size of the greatest matching of two trees whose roots have equal labels."""
-    if a.tag == "#":
-        return 1
-    key = id(a), id(b)
-    if key not in memo:
-        x, y = a.children, b[1]
-        row = [0] * (len(y) + 1)
-        if len(x) * len(y) > WIDE:
-            memo[key] = 1 + sum(_weight(x[i], y[j], memo) for i, j in _greedy(x, y))
-            return memo[key]
-        for c in x:
-            new = [0]
-            for j, d in enumerate(y):
-                best = max(row[j + 1], new[j])
-                if (c.label if c.tag != "#" else "#") == d[0]:
-                    best = max(best, row[j] + _weight(c, d, memo))
-                new.append(best)
-            row = new
-        memo[key] = 1 + row[-1]
-    return memo[key]
-
-
-def _greedy(x: list[Node], y: list) -> list[tuple[int, int]]:
-    """In order, each child with the next one of its label: for child lists too long for the quadratic table."""
-    out, j = [], 0
-    for i, c in enumerate(x):
-        label = c.label if c.tag != "#" else "#"
-        k = next((k for k in range(j, min(len(y), j + 16)) if y[k][0] == label), -1)
-        if k >= 0:
-            out.append((i, k))
-            j = k + 1
-    return out
-
-
-def _children(a: Node, b: list) -> list[tuple[int, int]]:
-    """Pairs of children in a greatest matching."""
-    x, y = a.children, b[1]
-    if len(x) * len(y) > WIDE:
-        return _greedy(x, y)
-    if len(x) == len(y) == 1:
-        return [(0, 0)] if (x[0].label if x[0].tag != "#" else "#") == y[0][0] else []
-    memo: dict = {}
-    table = [[0] * (len(y) + 1)]
-    for c in x:
-        row, new = table[-1], [0]
-        for j, d in enumerate(y):
-            best = max(row[j + 1], new[j])
-            if (c.label if c.tag != "#" else "#") == d[0]:
-                best = max(best, row[j] + _weight(c, d, memo))
-            new.append(best)
-        table.append(new)
-    out, i, j = [], len(x), len(y)
-    while i and j:
-        if table[i][j] == table[i - 1][j]:
-            i -= 1
-        elif table[i][j] == table[i][j - 1]:
-            j -= 1
-        else:
-            i, j = i - 1, j - 1
-            out.append((i, j))
-    return out[::-1]
-
-
 def _leaves(node: Node, out: list[Node] | None = None) -> list[Node]:
     out = [] if out is None else out
     if node.tag == "#":

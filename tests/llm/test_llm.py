@@ -252,6 +252,12 @@ def test_wrapper_regions_by_varying_text(spark):
     assert got["two 0"] == "T 0 story 0 runs on Write to us."  # one other page is small evidence
 
 
+def test_wrapper_on_long_flat_pages(spark):
+    pages = [(n, "https://h.example/", "<body>" + "".join(f"<p>p{n} {i}</p>" for i in range(500 + 40 * n)) + "<p>All rights reserved.</p></body>") for n in range(4)]
+    got = {r["page_id"]: r["text"] for r in wrapper.main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert got == {n: " ".join(f"p{n} {i}" for i in range(500 + 40 * n)) for n in range(4)}
+
+
 def test_pages_of_the_tables(spark):
     rows = spark.read.parquet(f"{SF}/pages.parquet").collect()
     got = {r["page_id"]: r["text"] for r in catalog.op3_main_text(spark, SF).collect()}
