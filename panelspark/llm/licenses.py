@@ -5,7 +5,8 @@ or replaced and foreign text around them, by a seeded generator; the unknown cla
 prose and legal-sounding text without a licence. A multinomial logistic regression over hashed word
 1-, 2- and 3-grams names a family; its temperature and the bound under which a paragraph is unknown
 are calibrated on made texts that the fit hasn't seen. A named family is confirmed when enough of a
-template of that family, as word trigrams, stands in the paragraph.
+template of that family, as word trigrams, stands in the paragraph. Lines are paragraphs; lines in a
+row that aren't confirmed alone are scanned joined as well, and a confirmed run takes their place.
 
 Only n-grams of the notices carry weight, so a paragraph without any of their telling words is
 unknown at once; that is the model's answer, not a shortcut around it. Every paragraph of every text
@@ -73,6 +74,19 @@ def paragraphs(text: str | None) -> list[tuple[int, str]]:
     return out
 
 
+def wrapped(lines: list[tuple[int, str]], confirmed: set[int]) -> list[list[int]]:
+    """Runs of two lines or more (their numbers) between blank lines and lines that are confirmed alone: notices wrapped over lines."""
+    runs: list[list[int]] = []
+    for k, (at, _) in enumerate(lines):
+        if k in confirmed:
+            continue
+        if runs and runs[-1][-1] == k - 1 and lines[k - 1][0] + len(lines[k - 1][1]) + 1 == at:
+            runs[-1].append(k)
+        else:
+            runs.append([k])
+    return [r for r in runs if len(r) > 1]
+
+
 def words_of(paragraph: str) -> list[str]:
     return TOKEN.findall(paragraph.lower())
 
@@ -221,14 +235,26 @@ def scan(df: DataFrame, text: str = "text", confirm: float = CONFIRM) -> DataFra
     struct = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64()), ("family", pa.string()), ("probability", pa.float64()), ("overlap", pa.float64()), ("confirmed", pa.bool_())]))
 
     def one(value: str | None) -> tuple[int, list[dict]]:
-        m, out, k = model.value, [], 0
-        for k, (at, paragraph) in enumerate(paragraphs(value), 1):  # noqa: B007
-            words = words_of(paragraph)
-            family, p = m.predict(words)
+        m, lines = model.value, paragraphs(value)
+        words = [words_of(x) for _, x in lines]
+        found: dict[int, dict] = {}
+        for k, (at, paragraph) in enumerate(lines):
+            family, p = m.predict(words[k])
             if family != "unknown":
-                share = compared(words, family)
-                out.append({"start": at, "length": len(paragraph), "family": family, "probability": p, "overlap": share, "confirmed": share >= confirm})
-        return k, out
+                share = compared(words[k], family)
+                found[k] = {"start": at, "length": len(paragraph), "family": family, "probability": p, "overlap": share, "confirmed": share >= confirm}
+        for run in wrapped(lines, {k for k, x in found.items() if x["confirmed"]}):
+            joined = [w for k in run for w in words[k]]
+            family, p = m.predict(joined)
+            # Long foreign text around a notice hides it from the classifier, not from its lines' families.
+            named = {x["family"]: x["probability"] for x in (found[k] for k in run if k in found)} | ({family: p} if family != "unknown" else {})
+            share, _, family = max(((compared(joined, f), f == family, f) for f in sorted(named)), default=(0.0, False, ""))
+            if named and share >= confirm:
+                start, (last, paragraph) = lines[run[0]][0], lines[run[-1]]
+                for k in run:
+                    found.pop(k, None)
+                found[run[0]] = {"start": start, "length": last + len(paragraph) - start, "family": family, "probability": named[family], "overlap": share, "confirmed": True}
+        return len(lines), [found[k] for k in sorted(found)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -304,6 +304,22 @@ def test_licenses(spark):
     assert (got[1]["families"], got[1]["n_confirmed"], got[1]["n_paragraphs"]) == ("MIT", 1, 2) and got[2]["n_paragraphs"] == 0 and got[3]["families"] == ""
 
 
+def test_licenses_wrapped_over_lines(spark):
+    import textwrap
+
+    rows, want = [], []
+    for i, (family, texts) in enumerate(licenses.NOTICES.items()):
+        long = max(texts, key=len)
+        lines = [f" * {x}" for x in textwrap.wrap(long, 28)]
+        if len(lines) > 2:
+            rows.append((i, "\n".join(["/*", *lines, " */", "", "ther inan lo ka."])))
+            want.append(family)
+    rows.append((99, "Released under the MIT License.\n" + "\n".join(textwrap.wrap(max(licenses.NOTICES["ISC"], key=len), 28))))
+    got = {r["doc_id"]: (r["n_confirmed"], r["families"]) for r in licenses.digest(licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
+    assert [got[i][1] for i, _ in rows[:-1]] == want and len(want) > 10
+    assert got[99] == (2, "ISC,MIT")
+
+
 def test_toxicity(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     got = toxicity.toxicity(docs, labels).join(labels, "doc_id").where("held_out").toPandas()
