@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, discard
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -15,7 +15,7 @@ def components(edges: DataFrame) -> DataFrame:
     node links its smaller neighbours and itself to the least of them. Both keep the components, and
     repeating them turns each into one star. Minima are pre-aggregated, so a hub's neighbours never
     meet in one task; the edges are never more than at the start. Each round is written to the shared
-    folder. Null ends and loops are ignored.
+    folder, and takes the place of the one before. Null ends and loops are ignored.
     """
     e = cut(edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     state = None
@@ -26,7 +26,8 @@ def components(edges: DataFrame) -> DataFrame:
         e1 = cut(large.where("a != b"))
         low = e1.groupBy("a").agg(F.min("b").alias("m"))
         small = e1.join(low, "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
-        e = cut(small.where("a != b").distinct())
+        before, e = e, cut(small.where("a != b").distinct())
+        discard(before, e1)
         now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == state:
             break

@@ -282,7 +282,7 @@ def main_text(pages: DataFrame) -> DataFrame:
     decide; a null page_id is an id like others. Markup without text gives an empty text. Pages are
     read whole. Repeated rows repeat; pages with equal texts at equal places count as one. An empty table gives no rows. Other columns are ignored.
     """
-    small_batches(pages.sparkSession, 128)
+    small_batches(pages.sparkSession)
     kind = dict(pages.dtypes)["page_id"]
     rows = pages.select("page_id", "url", F.coalesce(F.col("html"), F.lit("")).alias("html"), host_of(F.col("url")).alias("host"))
     found = cut(constants(rows)).withColumnRenamed("host", "_h")
