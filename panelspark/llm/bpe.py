@@ -9,11 +9,13 @@ hypotheses holds at most one per length of the unfinished token: the lookahead i
 longest token. Sets are states of a deterministic transducer, built when first met; a state names
 the token that ends there, and a token is out once all hypotheses agree on it.
 
-Each match of the split pattern is encoded separately, as a memo from match to ids spares most of
-them the walk. States and memo are dropped when they reach their bounds, which costs time only.
+Each match of the split pattern is encoded separately; a memo from match to ids spares most of them
+the walk. The walk looks every WAIT bytes for what all hypotheses agree on, so that a match of any
+length is encoded in bounded memory. States and memo are dropped when they reach their bounds, which
+costs time only.
 
-Decoding. Ids become bytes; a state machine over UTF-8 holds back an unfinished code point between
-pieces, so that a stream of ids decodes piece by piece.
+Decoding. Ids become bytes a block of STEP ids at a time; an incremental machine over UTF-8 holds back
+an unfinished code point between blocks, so that each piece it gives has whole code points.
 """
 
 from __future__ import annotations
@@ -21,19 +23,21 @@ from __future__ import annotations
 import base64
 import hashlib
 import struct
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import small_batches
 
-MOST_STATES = 250_000
+MOST_STATES = 120_000
+WAIT = 256
+STEP = 4_096
 NODE = 20  # bits of a trie node within a hypothesis; the last whole token stands above them
 MASK = (1 << NODE) - 1
 NONE = MASK  # no token yet
-MOST_PIECES = 400_000
-MOST_PAIRS = 500_000
+MOST_PIECES = 150_000
+MOST_PAIRS = 200_000
 
 
 def read_ranks(path: str) -> bytes:
@@ -69,6 +73,7 @@ class Transducer:
                     break
         self.child: dict[int, int] = {}  # trie node and byte -> node
         self.token = [-1]
+        self.depth = [0]
         inner = bytearray(1)
         for i in merges:
             at = 0
@@ -77,6 +82,7 @@ class Transducer:
                 if (to := self.child.get(at << 8 | byte)) is None:
                     to = self.child[at << 8 | byte] = len(self.token)
                     self.token.append(-1)
+                    self.depth.append(self.depth[at] + 1)
                     inner.append(0)
                 at = to
             self.token[at] = i
@@ -141,58 +147,65 @@ class Transducer:
         to = self.moves[state << 8 | byte] = self._state(tuple(after), whole)
         return to
 
-    def transduce(self, data: Iterable[int]) -> Iterator[int]:
-        """Bytes -> tokens, each as soon as all hypotheses agree on it: a lookahead bounded by the longest token."""
-        state, at = 0, 0
-        starts = [0]  # where the unfinished token of each hypothesis begins
-        chains: dict[int, tuple[int, ...]] = {0: ()}  # tokens up to there that aren't emitted yet
-        for byte in data:
-            live = [self.child.get((h & MASK) << 8 | byte) for h in self.states[state]]
-            state = self._next(state, byte)
-            at += 1
-            token = self.whole[state]
-            chains[at] = (*chains[at - len(self.bytes_of[token])], token)
-            starts = [s for s, to in zip(starts, live, strict=True) if to is not None and self.inner[to]] + [at]
-            chains = {s: chains[s] for s in starts}
-            first, agreed = chains[starts[0]], 0
-            while agreed < min(map(len, chains.values())) and all(c[agreed] == first[agreed] for c in chains.values()):
-                agreed += 1
-            yield from first[:agreed]
-            chains = {s: c[agreed:] for s, c in chains.items()}
-        yield from chains[at]
-
-    def _next(self, state: int, byte: int) -> int:
-        to = self.moves.get(state << 8 | byte)
-        return self._move(state, byte) if to is None else to
-
-    def encode(self, piece: bytes) -> list[int]:
-        """Ids of one match. The state after each byte names the token that ends there, so the ids are read off from the end."""
-        if (known := self.rank.get(piece)) is not None:
-            return [known]
-        if len(self.states) > MOST_STATES:
-            self._reset()
+    def transduce(self, data: Iterable[int], wait: int = WAIT) -> Iterator[int]:
+        """Bytes -> tokens, each once all hypotheses agree on it, which is looked for every ``wait`` bytes: the lookahead is that and the longest token at most."""
         moves, whole, state = self.moves, self.whole, 0
-        ends = []
-        for byte in piece:
+        ends: list[int] = []  # the token that ends at each byte since the last one emitted
+        due = wait
+        for byte in data:
             to = moves.get(state << 8 | byte)
-            state = self._move(state, byte) if to is None else to
+            if to is None:
+                if len(self.states) > MOST_STATES:
+                    kept = self.states[state], whole[state]
+                    self._reset()
+                    moves, whole, state = self.moves, self.whole, self._state(*kept)
+                to = self._move(state, byte)
+            state = to
             ends.append(whole[state])
-        out: list[int] = []
-        at = len(piece)
+            if len(ends) >= due:
+                out, sure = self._agreed(state, ends)
+                yield from out
+                del ends[:sure]
+                due = len(ends) + wait
+        yield from self._back(ends, len(ends))
+
+    def _back(self, ends: list[int], at: int) -> list[int]:
+        """The tokens of the first ``at`` bytes, read off from the end."""
+        out = []
         while at:
             out.append(ends[at - 1])
             at -= len(self.bytes_of[out[-1]])
         out.reverse()
         return out
 
+    def _agreed(self, state: int, ends: list[int]) -> tuple[list[int], int]:
+        """Tokens that stand in what every hypothesis has behind it, and their bytes. A prefix has one encoding, so that is all up to the last border they share."""
+        shared: set[int] | None = None
+        for h in self.states[state]:
+            at = len(ends) - self.depth[h & MASK]
+            borders = {at}
+            while at:
+                at -= len(self.bytes_of[ends[at - 1]])
+                borders.add(at)
+            shared = borders if shared is None else shared & borders
+        sure = max(shared or {0})
+        return self._back(ends, sure), sure
+
+    def encode(self, piece: bytes) -> list[int]:
+        """Ids of one match."""
+        if (known := self.rank.get(piece)) is not None:
+            return [known]
+        return list(self.transduce(piece))
+
 
 class Utf8Stream:
-    """Bytes in any pieces -> text; an unfinished code point waits for its rest, ill-formed bytes become U+FFFD."""
+    """Bytes in any pieces -> pieces of whole code points; an unfinished one waits for its rest. Nothing is lost: ill-formed bytes pass, and read as U+FFFD."""
 
     def __init__(self) -> None:
         self.held = b""
 
-    def feed(self, data: bytes) -> str:
+    def whole(self, data: bytes) -> bytes:
+        """What is complete of the bytes so far."""
         data = self.held + data
         # The state after the last byte: how far back a lead byte stands that wants more bytes than there are.
         waiting = 0
@@ -204,11 +217,18 @@ class Utf8Stream:
                 break
         end = len(data) - waiting
         self.held = data[end:]
-        return data[:end].decode("utf-8", "replace")
+        return data[:end]
 
-    def close(self) -> str:
+    def feed(self, data: bytes) -> str:
+        return self.whole(data).decode("utf-8", "replace")
+
+    def rest(self) -> bytes:
+        """Bytes of a code point that never came to its end."""
         rest, self.held = self.held, b""
-        return rest.decode("utf-8", "replace")
+        return rest
+
+    def close(self) -> str:
+        return self.rest().decode("utf-8", "replace")
 
 
 class Memo(dict):
@@ -236,33 +256,45 @@ class Codec:
         # Unicode's White_Space, as in the split pattern's own engine.
         self.split = regex.compile(pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"(?!\S)", r"(?!\P{White_Space})").replace(r"\s", r"\p{White_Space}")).findall
         self.memo = Memo(self.fst)
-        self.vocabulary = [self.fst.bytes_of.get(i, b"") for i in range(max(self.fst.bytes_of) + 1)]
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         return b"".join(map(self.memo.__getitem__, self.split(text)))
 
-    def decode(self, ids: Iterable[int]) -> bytes:
-        return b"".join(map(self.vocabulary.__getitem__, ids))
 
-    def decode_text(self, stream: Iterable[Iterable[int]]) -> Iterator[str]:
-        """Pieces of a stream of ids -> pieces of text, each of whole code points."""
+class Vocabulary:
+    """What decoding needs: the bytes of each id."""
+
+    def __init__(self, ranks: bytes):
+        of = {int(b): base64.b64decode(a) for a, b in (line.split() for line in ranks.splitlines() if line.strip())}
+        self.bytes_of = [of.get(i, b"") for i in range(max(of) + 1)]
+
+    def pieces(self, stream: Iterable[Sequence[int]]) -> Iterator[bytes]:
+        """Pieces of a stream of ids -> the bytes they stand for, in pieces of whole code points."""
         machine = Utf8Stream()
         for ids in stream:
-            yield machine.feed(self.decode(ids))
-        yield machine.close()
+            yield machine.whole(b"".join(map(self.bytes_of.__getitem__, ids)))
+        yield machine.rest()
+
+    def decode(self, ids: Sequence[int], step: int = STEP) -> bytes:
+        return b"".join(self.pieces(ids[i : i + step] for i in range(0, len(ids), step)))
 
+    def decode_text(self, stream: Iterable[Sequence[int]]) -> Iterator[str]:
+        """Pieces of a stream of ids -> pieces of text."""
+        return (piece.decode("utf-8", "replace") for piece in self.pieces(stream))
 
-_codecs: dict[tuple[str, str], Codec] = {}
 
+_made: dict[tuple, Codec | Vocabulary] = {}
 
-def codec(ranks: bytes, pattern: str) -> Codec:
-    """One compiled codec per worker and vocabulary."""
-    key = hashlib.sha256(ranks).hexdigest(), pattern
-    if key not in _codecs:
-        _codecs.clear()
-        _codecs[key] = Codec(ranks, pattern)
-    return _codecs[key]
+
+def _of_worker(kind: type, ranks: bytes, *more: str) -> Codec | Vocabulary:
+    """One of a kind and vocabulary per worker."""
+    key = kind, hashlib.sha256(ranks).hexdigest(), *more
+    if key not in _made:
+        for other in [k for k in _made if k[0] is kind]:
+            del _made[other]
+        _made[key] = kind(ranks, *more)
+    return _made[key]
 
 
 def _pass_through(batches: Iterator[pa.RecordBatch], column: str, work) -> Iterator[pa.RecordBatch]:
@@ -287,14 +319,18 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text") ->
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name != text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = codec(ranks.value, pattern)
+        c = _of_worker(Codec, ranks.value, pattern)
         return _pass_through(batches, text, lambda texts: {"ids": pa.array([c.encode(t or "") for t in texts], pa.binary())})
 
     return df.mapInArrow(run, f"{kinds}, ids binary")
 
 
-def decode(df: DataFrame, ranks_path: str, pattern: str, ids: str = "ids", out: str = "decoded", keep_ids: bool = True) -> DataFrame:
-    """The rows with ``out``, the bytes that the ids stand for; null ids give null. Ids outside the vocabulary fail."""
+def decode(df: DataFrame, ranks_path: str, ids: str = "ids", out: str = "decoded", keep_ids: bool = True) -> DataFrame:
+    """The rows with ``out``, the bytes that the ids stand for.
+
+    Null ids give null, empty ones no bytes; ids outside the vocabulary fail. Other columns stay, null
+    or not; a column named as ``out`` is replaced. Repeated rows repeat; an empty table gives no rows.
+    """
     small_batches(df.sparkSession)
     ranks = df.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
     df = df.select(*[c for c in df.columns if c != out])
@@ -303,7 +339,7 @@ def decode(df: DataFrame, ranks_path: str, pattern: str, ids: str = "ids", out:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        c = codec(ranks.value, pattern)
+        c = _of_worker(Vocabulary, ranks.value)
 
         def work(values: list) -> dict:
             texts = pa.array([None if v is None else c.decode(np.frombuffer(v, "<u4").tolist()) for v in values], pa.binary())
