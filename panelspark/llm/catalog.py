@@ -42,7 +42,7 @@ def op5_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bpe_digest(docs: DataFrame) -> DataFrame:
     path, pattern = vocabulary()
-    coded = bpe.decode(bpe.encode(docs.select("doc_id", "text"), path, pattern), path, pattern)
+    coded = bpe.decode(bpe.encode(docs.select("doc_id", "text"), path, pattern), path)
     return coded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
@@ -75,12 +75,16 @@ WITH l AS (
 ), t AS (SELECT doc_id, line_no, raw, trim(raw, ' ' || chr(9) || chr(13) || chr(11) || chr(12)) AS line FROM l
 ), d AS (SELECT line, min({'a': doc_id, 'b': line_no}) AS loc, length(line) AS n FROM t WHERE line <> '' GROUP BY line
 ), k AS (
-  SELECT line, loc, n AS m, 0 AS side, substr(line, 1, n // 2) AS half FROM d WHERE n >= 20
-  UNION ALL SELECT line, loc, n, 1, substr(line, n // 2 + 1) FROM d WHERE n >= 20
-  UNION ALL SELECT line, loc, n - 1, 0, substr(line, 1, (n - 1) // 2) FROM d WHERE n >= 20
-  UNION ALL SELECT line, loc, n - 1, 1, substr(line, (n - 1) // 2 + 2) FROM d WHERE n >= 20
+  SELECT line, loc, n AS m, 0 AS side, substr(line, 1, n // 2) AS half FROM d
+  UNION ALL SELECT line, loc, n, 1, substr(line, n // 2 + 1) FROM d
+  UNION ALL SELECT line, loc, n - 1, 0, substr(line, 1, (n - 1) // 2) FROM d
+  UNION ALL SELECT line, loc, n - 1, 1, substr(line, (n - 1) // 2 + 2) FROM d
 ), near AS (
-  SELECT DISTINCT x.line FROM k x JOIN k y ON x.m = y.m AND x.side = y.side AND x.half = y.half AND y.loc < x.loc WHERE levenshtein(x.line, y.line) <= 1
+  SELECT DISTINCT x.line FROM k x JOIN k y ON x.m = y.m AND x.side = y.side AND x.half = y.half AND y.loc < x.loc
+  WHERE CASE length(x.line) - length(y.line)
+    WHEN 0 THEN len(list_filter(range(1, length(x.line) + 1), lambda i: substr(x.line, i, 1) <> substr(y.line, i, 1))) = 1
+    WHEN 1 THEN list_contains(list_transform(range(1, length(x.line) + 1), lambda i: substr(x.line, 1, i - 1) || substr(x.line, i + 1)), y.line)
+    WHEN -1 THEN list_contains(list_transform(range(1, length(y.line) + 1), lambda i: substr(y.line, 1, i - 1) || substr(y.line, i + 1)), x.line) ELSE false END
 ), m AS (
   SELECT t.*, t.line <> '' AND (near.line IS NOT NULL OR {'a': t.doc_id, 'b': t.line_no} <> d.loc) AS gone, t.line <> '' AND near.line IS NOT NULL AS is_near
   FROM t LEFT JOIN d ON t.line = d.line LEFT JOIN near ON t.line = near.line
