@@ -24,11 +24,11 @@ places that can be such. Sets with equal emitted shingles and size are one group
    a pair with more of them than linked sets may have is refused without its texts, and no link is
    lost. The rest is checked on the sets themselves, rebuilt from the whole texts.
 4. The rest: after contracting what is proven, only shingles of long runs and group pairs of which
-   sets still lie in different components are left; those pairs are expanded to members and verified
-   too.
+   sets still lie in different components are left; those pairs are expanded to members, and all
+   members that lie in different components are verified against each other, too.
 
-So every pair that could link is either verified or already connected; no link between components is
-lost, while copies, however many, cost a pair each.
+So every pair that could link is either verified or already in one component, and copies, however
+many, cost a pair each.
 """
 
 from __future__ import annotations
@@ -50,15 +50,17 @@ SHORT = 16
 MOST_OFTEN = 4_000_000
 BUCKET = 2_000_000
 FEW = 500_000
+MOST_WORDS = 100_000
+MOST_GROUPS = 200_000
 
 
 class _Words(dict):
-    """Hashes of words, remembered up to a bound."""
+    """Hashes of words, remembered up to a bound; a worker forgets them when a task ends."""
 
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) > 500_000:
+        if len(self) > MOST_WORDS:
             self.clear()
         self[word] = h = xxhash.xxh3_64_intdigest(word)
         return h
@@ -117,13 +119,11 @@ def _counted(batches: Iterator[pa.RecordBatch], n: int, bits: int) -> Iterator[p
         h, times = np.unique(np.concatenate(parts), return_counts=True)
         bucket, low = (h >> np.uint64(64 - bits)).astype(np.int64), ((h >> np.uint64(32 - bits)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
         rows = {"bucket": [], "once": [], "many": [], "times": []}
-        edges = np.searchsorted(bucket, np.arange((1 << bits) + 1))
-        for b in range(1 << bits):
-            i, j = edges[b], edges[b + 1]
-            if i < j:
-                one = times[i:j] == 1
-                for k, v in (("bucket", b), ("once", low[i:j][one].tobytes()), ("many", low[i:j][~one].tobytes()), ("times", times[i:j][~one].astype(np.uint32).tobytes())):
-                    rows[k].append(v)
+        start = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])  # of buckets that have any
+        for i, j in zip(start, np.r_[start[1:], len(bucket)], strict=True):
+            one = times[i:j] == 1
+            for k, v in (("bucket", bucket[i]), ("once", low[i:j][one].tobytes()), ("many", low[i:j][~one].tobytes()), ("times", times[i:j][~one].astype(np.uint32).tobytes())):
+                rows[k].append(v)
         return pa.RecordBatch.from_arrays([pa.array(rows["bucket"], pa.int32()), *(pa.array(rows[k], pa.binary()) for k in ("once", "many", "times"))], names=list(rows))
 
     parts, held = [], 0
@@ -136,6 +136,7 @@ def _counted(batches: Iterator[pa.RecordBatch], n: int, bits: int) -> Iterator[p
                 parts, held = [], 0
     if held:
         yield packed(parts)
+    _words.clear()
 
 
 def _frequent(table: pa.Table, often: int) -> pa.Table:
@@ -221,7 +222,7 @@ def _emitted(batches: Iterator[pa.RecordBatch], n: int, order: Order) -> Iterato
                 docs[k].append(v)
             if not len(h) or group in seen:
                 continue
-            if len(seen) > 500_000:
+            if len(seen) > MOST_GROUPS:
                 seen.clear()
             seen.add(group)
             rare = int((times == 0).sum())
@@ -240,6 +241,7 @@ def _emitted(batches: Iterator[pa.RecordBatch], n: int, order: Order) -> Iterato
             held = 0
     if held:
         yield flushed()
+    _words.clear()
 
 
 def _paired(table: pa.Table, percent: int) -> pa.Table:
@@ -294,6 +296,7 @@ def _verified(batches: Iterator[pa.RecordBatch], n: int, percent: int) -> Iterat
             if 100 * both >= percent * (len(last[1]) + len(h) - both):
                 keep.append(i)
         yield pa.RecordBatch.from_arrays([pa.array([v[i] for i in keep], pa.int64()) for v in (a, b)], names=["a", "b"])
+    _words.clear()
 
 
 def jaccard_components(docs: DataFrame, n: int = N, percent: int = PERCENT, most_often: int = MOST_OFTEN, few: int = FEW) -> DataFrame:
@@ -395,15 +398,21 @@ def _links(rows: DataFrame, sets: DataFrame, pairs: DataFrame, n: int, percent:
 
 
 def keep_one(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """One row of each component: its least by (doc_id, text key); rows without words all stay. Components go by their root: null or repeated ids may name several."""
+    """One row of each component: its least by (doc_id, text key); rows without words all stay.
+
+    ``found`` is what ``jaccard_components`` gives for these rows. Components go by their root: null or
+    repeated ids may name several. Nulls are values like others; of equal rows with one id one stays;
+    an empty table gives no rows; other columns, whatever their names, travel in one struct.
+    """
     words = found.where("n_shingles > 0")
-    one = words.groupBy("root").agg(F.min(F.struct("doc_id", "text_key")).alias("one"), F.count(F.lit(1)).alias("c")).select(F.col("one.doc_id").alias("_id"), F.col("one.text_key").alias("_key"))
-    empty = found.where("n_shingles = 0").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"))
+    one = words.groupBy("root").agg(F.min(F.struct("doc_id", "text_key")).alias("one")).select(F.col("one.doc_id").alias("at"), F.col("one.text_key").alias("at_key"))
+    empty = found.where("n_shingles = 0").select(F.col("doc_id").alias("at"), F.col("text_key").alias("at_key"))
     kept = one.unionByName(empty.distinct())
-    out = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_id"]) & (F.xxhash64(docs["text"]) == kept["_key"]), "left_semi")
-    again = words.groupBy("doc_id", "text_key").count().where("count > 1").limit(1).count()
-    if not again:
-        return out
-    # Equal rows with one id: one of them stays.
-    first = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.lit(1))
-    return out.withColumn("_r", F.row_number().over(first)).where(F.col("_r").eqNullSafe(1) | (F.length(F.btrim(F.coalesce("text", F.lit("")), F.lit(" \t\r\n\x0b\x0c"))) == 0)).drop("_r")
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("key"))
+    rows = rows.join(kept, rows["id"].eqNullSafe(kept["at"]) & (rows["key"] == kept["at_key"]), "left_semi")
+    if words.groupBy("doc_id", "text_key").count().where("count > 1").limit(1).count():
+        # Equal rows with one id: one of them stays.
+        first = Window.partitionBy("id", "key").orderBy(F.lit(1))
+        has_words = F.length(F.btrim(F.coalesce("row.text", F.lit("")), F.lit(" \t\r\n\x0b\x0c"))) > 0
+        rows = rows.withColumn("place", F.row_number().over(first)).where((F.col("place") == 1) | ~has_words)
+    return rows.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -5,9 +5,9 @@ all documents; a target stops at ``cap`` times its source's size and the excess
 weight. That fixed point is a water level: target = min(cap * size, level * weight).
 
 Allocation: blocks of ``block`` words go to sources by the highest quotients target / (2k + 1), then
-each source's blocks go to its shards by the same rule, with the shards' words as votes. A shard's
-documents stand in seeded order as one stream of words; its quota takes whole passes over the stream
-and the first words of one more pass.
+each source's blocks go to its shards by the same rule, with the shards' words as votes. The selection
+of blocks is seeded: a shard's documents stand in seeded order as one stream of words; its quota takes
+whole passes over the stream and the first words of one more pass, a contiguous run of blocks.
 
 Scale: everything is aggregated to (source, shard) before a window sees it. A source's shards number
 its documents / ``shard_docs``, so that the per-shard window, the only one over documents, holds about
@@ -123,22 +123,22 @@ def mix(docs: DataFrame, block: int = BLOCK, cap: int = CAP, shard_docs: int = S
 def apply_mix(docs: DataFrame, mixed: DataFrame) -> DataFrame:
     """The mix as documents: each stands taken // size times whole, then once with its first words for the rest.
 
-    Rows meet by doc_id and text, so equal rows must be gone before. A document that the mix takes
-    nothing of is dropped.
+    Rows meet by doc_id and text, so equal rows must be gone before. Null ids meet null ids; a document
+    that the mix takes nothing of, so one without words, is dropped; an empty table gives no rows. The
+    first words of a cut document keep the white space between them. Other columns, whatever their
+    names, travel in one struct; a column n_chars is counted anew.
     """
-    m = mixed.where("taken > 0").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("size").alias("_size"), F.col("taken").alias("_taken"))
-    whole = F.floor(F.col("_taken") / F.col("_size")).cast("int")
-    rest = (F.col("_taken") % F.col("_size")).cast("int")
-    head = F.array_join(F.slice(F.array_remove(F.split(F.col("text"), SPACE), ""), 1, rest), " ")
-    parts = F.concat(F.array_repeat(F.col("text"), whole), F.when(rest > 0, F.array(head)).otherwise(F.array().cast("array<string>")))
-    joined = docs.join(m, docs["doc_id"].eqNullSafe(m["_id"]) & (F.xxhash64(docs["text"]) == m["_key"]))
-    texts = joined.withColumn("_t", F.explode(parts))
-    out = []
-    for c in docs.columns:
-        if c == "text":
-            out.append(F.col("_t").alias("text"))
-        elif c == "n_chars":
-            out.append(F.char_length("_t").cast(docs.schema["n_chars"].dataType).alias("n_chars"))
-        else:
-            out.append(F.col(c))
-    return texts.select(*out)
+    m = mixed.where("taken > 0").select(F.col("doc_id").alias("at"), F.col("text_key").alias("at_key"), "size", "taken")
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("key"))
+    whole = F.floor(F.col("taken") / F.col("size")).cast("int")
+    rest = (F.col("taken") % F.col("size")).cast("int")
+    # Up to the end of the last word taken: what stands before it, with a code point of white space after each piece.
+    place = F.element_at(F.filter(F.sequence(F.lit(0), F.size("pieces") - 1), lambda i: F.get(F.col("pieces"), i) != ""), rest)
+    length = F.aggregate(F.slice("pieces", 1, place), F.lit(0), lambda n, x: n + F.char_length(x) + 1) + F.char_length(F.get(F.col("pieces"), place))
+    head = F.substring("row.text", F.lit(1), length)
+    parts = F.concat(F.array_repeat(F.col("row.text"), whole), F.when(rest > 0, F.array(head)).otherwise(F.array().cast("array<string>")))
+    joined = rows.join(m, rows["id"].eqNullSafe(m["at"]) & (rows["key"] == m["at_key"])).withColumn("pieces", F.when(rest > 0, F.split(F.col("row.text"), SPACE[:-1])))
+    texts = joined.select("row", F.explode(parts).alias("part"))
+    of = {"text": F.col("part")} | ({"n_chars": F.char_length("part").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
+    texts = texts.select("row", F.struct(*[x.alias(c) for c, x in of.items()]).alias("new"))
+    return texts.select(*[F.col("new" if c in of else "row").getField(c).alias(c) for c in docs.columns])

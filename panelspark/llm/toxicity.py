@@ -33,6 +33,7 @@ from .common import cut, small_batches
 
 MAX_DOCS = 12_000
 MAX_ENTRIES = 2_000
+MOST_WORDS = 100_000
 FALSE_SHARE = 0.3
 MAX_VOTERS = 96
 STEMS = (4, 5, 6, 7)
@@ -88,7 +89,7 @@ class Model:
         known = self.of_word
         for word, times in Counter(words).items():
             if (found := known.get(word)) is None:
-                if len(known) > 300_000:
+                if len(known) > MOST_WORDS:
                     known.clear()
                 found = known[word] = tuple(self.place[k] for k in keys_of(word) if k in self.place)
             for i in found:
