@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from panelspark.llm import ann, bpe, catalog, components, jaccard, licenses, line_dedup, mixing, toxicity, transcripts, transport_stream, wrapper
+from panelspark.llm import ann, bpe, catalog, common, components, jaccard, licenses, line_dedup, mixing, toxicity, transcripts, transport_stream, wrapper
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, ids int, taken int, grp string, shard string, host string"
@@ -91,7 +91,7 @@ def test_keep_one_with_null_and_repeated_ids(spark):
     texts = [" ".join(f"{c}{k}" for k in range(30)) for c in "abcdef"]
     rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (None, texts[2]), (7, texts[3]), (7, texts[4]), (8, texts[5]), (9, texts[5]), (9, texts[3]), (None, ""), (None, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    got = [tuple(r) for r in jaccard.keep_one(docs, corpus_pipeline.cut(jaccard.jaccard_components(docs))).collect()]
+    got = [tuple(r) for r in jaccard.keep_one(docs, common.cut(jaccard.jaccard_components(docs))).collect()]
     assert sorted(got, key=str) == sorted([(None, texts[0]), (None, texts[1]), (None, texts[2]), (7, texts[3]), (7, texts[4]), (8, texts[5]), (None, ""), (None, None)], key=str)
 
 
@@ -109,7 +109,7 @@ def test_components(spark):
 
 def test_line_dedup_against_brute_force(spark):
     rng = random.Random(5)
-    lines = ["".join(rng.choice("abcdé ") for _ in range(rng.randint(15, 40))).strip() for _ in range(25)]
+    lines = ["".join(rng.choice("abcdé ") for _ in range(rng.choice([rng.randint(1, 6), rng.randint(15, 40)]))).strip() or "x" for _ in range(25)]
     for x in list(lines):
         for _ in range(3):
             i = rng.randrange(len(x))
@@ -130,7 +130,7 @@ def test_line_dedup_against_brute_force(spark):
         keep = []
         for raw in text.split("\n"):
             x = raw.strip(line_dedup.BLANKS)
-            if x and (x in seen or any(len(x) >= 20 and len(y) >= 20 and abs(len(x) - len(y)) < 2 and distance(x, y) <= 1 for y in set(seen))):
+            if x and (x in seen or any(abs(len(x) - len(y)) < 2 and distance(x, y) <= 1 for y in set(seen))):
                 seen.append(x)
                 continue
             if x:
@@ -141,6 +141,24 @@ def test_line_dedup_against_brute_force(spark):
     got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
     # The line that occurs first stays only where it first occurs, unless an earlier line is near it.
     assert got == want
+    # The join in place of the broadcast, and segments of two code points, change nothing.
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    assert {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(frame, few=0).collect()} == want
+    lines = line_dedup.lines_of(frame).withColumn("h1", F.xxhash64("line")).withColumn("h2", F.xxhash64(F.lit(7), "line"))
+    assert sorted(line_dedup.near_lines(lines, segment=2).collect()) == sorted(line_dedup.near_lines(lines).collect())
+
+
+def test_line_dedup_of_very_long_lines_and_clashing_names(spark):
+    rng = random.Random(8)
+    long = "".join(rng.choices("abcdefgh ijklé", k=1_000_000)).strip()
+    cut = rng.randrange(10, len(long) - 10)
+    rows = [(1, long), (2, f"own words\n{long[:cut]}{long[cut + 1:]}"), (3, f"{long[:cut]}Z{long[cut + 1:]}\nmore"), (4, f"{long[:cut]}ZZ{long[cut + 1:]}")]
+    names = {"_split": "s", "_gone": "g", "gone": 1, "near": 2, "row": "r", "id": 9, "key": 8, "split": "t", "n.dots": 3}
+    df = spark.createDataFrame([(i, t, *names.values()) for i, t in rows], "doc_id long, text string, " + ", ".join(f"`{k}` {'string' if isinstance(v, str) else 'long'}" for k, v in names.items()))
+    got = {r["doc_id"]: r.asDict() for r in line_dedup.dedup_lines(df).collect()}
+    # The first of the neighbours stays; what is two edits from it, but one from a line that went, goes too.
+    assert [got[i]["text"] for i in (1, 2, 3, 4)] == [long, "own words", "more", ""]
+    assert all(got[i][k] == v for i in got for k, v in names.items())
 
 
 def test_mixing(spark):
@@ -168,31 +186,60 @@ def test_mixing(spark):
     assert all(abs(by[n][2] - target[k]) < 1e-6 * max(1, target[k]) for k, n in enumerate(names))
 
 
+def test_mix_as_documents(spark):
+    docs = spark.createDataFrame([(1, " a  b\tc\n\nd ", "x", 0, 0), (None, "one", None, 0, 0), (3, None, "x", 0, 0)], "doc_id long, text string, source string, size int, n_chars int")
+    mixed = docs.select("doc_id", F.xxhash64("text").alias("text_key"), F.when(F.col("doc_id") == 1, 4).otherwise(1).alias("size"), F.when(F.col("doc_id") == 1, 7).when(F.col("doc_id").isNull(), 2).otherwise(0).alias("taken"))
+    got = sorted(((r["doc_id"], r["text"], r["size"], r["n_chars"]) for r in mixing.apply_mix(docs, mixed).collect()), key=str)
+    assert got == sorted([(1, " a  b\tc\n\nd ", 0, 11), (1, " a  b\tc", 0, 7), (None, "one", 0, 3), (None, "one", 0, 3)], key=str)
+
+
 def test_bpe_against_tiktoken():
     import public_tokenizers
     import tiktoken
 
     raw = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    c = bpe.Codec(raw, public_tokenizers.PATTERN)
+    c, v = bpe.Codec(raw, public_tokenizers.PATTERN), bpe.Vocabulary(raw)
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, raw.splitlines())}
     theirs = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     rng = random.Random(2)
-    texts = ["", "a", " " * 300, "aaaa" * 200, "don't we'll 12345 \x1c\x85\xa0 x", "<|endoftext|>", "é👩‍👩‍👧日本語 ñ"]
+    texts = ["", "a", " " * 300, "ab" * 3000 + "é" * 999, "".join(rng.choice("abcdefgh") for _ in range(5000)), "aaaa" * 200, "don't we'll 12345 \x1c\x85\xa0 x", "<|endoftext|>", "é👩‍👩‍👧日本語 ñ"]
     texts += ["".join(chr(rng.choice([rng.randint(32, 126), rng.randint(161, 1500), rng.randint(0x4E00, 0x9FFF), rng.randint(0x1F300, 0x1F6FF), 10, 32])) for _ in range(rng.randint(1, 60))) for _ in range(400)]
     for t in texts:
         ids = np.frombuffer(c.encode(t), "<u4").tolist()
         assert ids == theirs.encode_ordinary(t)
-        assert c.decode(ids) == t.encode()
-        assert "".join(c.decode_text([i] for i in ids)) == t
-        for piece in c.split(t):
+        assert v.decode(ids) == t.encode() == v.decode(ids, step=1)
+        assert "".join(v.decode_text([i] for i in ids)) == t
+        for piece in c.split(t)[:50]:
             b = piece.encode()
             if b not in c.fst.rank:
-                assert list(c.fst.transduce(b)) == c.fst.encode(b)
+                assert list(c.fst.transduce(b, wait=1)) == c.fst.encode(b)
+    # States are dropped in the middle of a match.
+    few = bpe.Transducer(raw)
+    most, bpe.MOST_STATES = bpe.MOST_STATES, 50
+    try:
+        assert list(few.transduce(texts[4].encode())) == theirs.encode_ordinary(texts[4])
+    finally:
+        bpe.MOST_STATES = most
+    assert v.decode([v.bytes_of.index(b"\xff"), v.bytes_of.index(b"\xe3")]) == b"\xff\xe3"  # ill-formed bytes are not lost
     machine = bpe.Utf8Stream()
     assert "".join(machine.feed(bytes([b])) for b in "é👩x".encode()) + machine.close() == "é👩x"
     assert bpe.Utf8Stream().feed(b"\xff\xfe") == "��"
 
 
+def test_bpe_on_the_documents_table_against_tiktoken(spark):
+    import public_tokenizers
+    import tiktoken
+
+    raw = bpe.read_ranks(public_tokenizers.path(catalog.VOCABULARY))
+    theirs = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks={base64.b64decode(a): int(b) for a, b in map(bytes.split, raw.splitlines())}, special_tokens={})
+    got = {r["doc_id"]: (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in catalog.op6_byte_bpe(spark, SF).collect()}
+    want = {}
+    for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect():
+        ids = theirs.encode_ordinary(r["text"] or "")
+        want[r["doc_id"]] = len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256((r["text"] or "").encode()).hexdigest()
+    assert got == want
+
+
 def test_transport_stream():
     for n in (0, 1, 63, 64, 183, 184, 32767, 32768, 32769, 300_000):
         payload = transport_stream.pad("x" * n)
@@ -373,13 +420,33 @@ def test_edge_rows(spark, empty):
         assert sorted(r["taken"] for r in mixing.mix(df).where("size = 0").collect()) == [0] * 4
 
 
+@pytest.mark.parametrize("empty", [False, True])
+def test_pipeline_on_edge_rows(spark, tmp_path, empty):
+    long = "word " * 20_000 + "\n" + "x" * 50_000
+    docs = edge(spark, [(1, "one two three four five six seven"), (1, "one two three four five six seven"), (2, None), (None, "a null id has these words"), (3, ""), (4, " \n\t \n"), (5, long), (6, long), (None, None)])
+    docs = docs.withColumns({c: F.lit("mine") for c in ("row", "score", "_score", "id", "key", "n_near", "_gone", "_t", "size", "part", "pieces", "place")})
+    docs = docs.limit(0) if empty else docs
+    for name in ("labels",):
+        spark.read.parquet(f"{SF}/{name}.parquet").limit(0 if empty else 50).write.parquet(f"{tmp_path}/{name}.parquet")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    sizes = []
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        docs = common.cut(stage(spark, docs, str(tmp_path)))
+        sizes.append(docs.count())
+        if k < 4:
+            assert docs.columns[-1] == "place" and {r["n_near"] for r in docs.collect()} <= {"mine"}, name
+    # Both rows of 1 lose nothing by line dedup, as they are one document; 6 says nothing that 5 doesn't.
+    assert sizes[:3] == ([0, 0, 0] if empty else [9, 8, 7])
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == sizes[-1]
+
+
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(120)
     kept = docs
     names = docs.columns
     before = {r["doc_id"]: r["text"] for r in docs.collect()}
     for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
-        kept = spark.createDataFrame(stage(spark, kept, SF).collect(), schema=stage(spark, kept, SF).schema) if k == 0 else corpus_pipeline.cut(stage(spark, kept, SF))
+        kept = spark.createDataFrame(stage(spark, kept, SF).collect(), schema=stage(spark, kept, SF).schema) if k == 0 else common.cut(stage(spark, kept, SF))
         if k < len(corpus_pipeline.STAGES) - 1:
             assert kept.columns == names, name
         if k == 2:
