@@ -282,10 +282,75 @@ def test_wrapper_learns_from_all_pages_of_a_host(spark):
     pages = [(n, "https://h.example/", page.format(k=n // 4, n=n)) for n in range(160)]
     got = {r["page_id"]: r["text"] for r in wrapper.main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
     assert got == {n: f"T {n} story {n} of some length" for n in range(160)}
-    one = wrapper.constants(spark.createDataFrame([("h", page.format(k=0, n=0))] * 3, "host string, html string"))
+    one = wrapper.constants(wrapper.read(spark.createDataFrame([(1, "u", "h", page.format(k=0, n=0))] * 3, "page_id long, url string, host string, html string")))
     assert one.count() == 0  # copies are one page
 
 
+def test_wrapper_aligns_with_references():
+    page = "<body><article><h1>T {n}</h1><p>story {n} runs on</p><p>Write to us.</p></article></body>"
+    trees = [wrapper.kept(wrapper.parse(page.format(n=n))) for n in range(3)]
+    many = {k for i, _, k in wrapper.marks(trees[0]) if trees[0].texts[i] == "Write to us."}
+    refs = [(wrapper.own_of(wrapper.marks(t)), wrapper.shape_of(t)) for t in trees]
+    assert wrapper.extract(page.format(n=0), many, (), refs) == "T 0 story 0 runs on"
+    assert wrapper.extract(page.format(n=0), many, (), refs[:1]) == "T 0 story 0 runs on Write to us."  # no other page to align with
+
+
+def test_simple_tree_matching_against_brute_force():
+    rng = random.Random(6)
+
+    def made(depth):
+        return rng.choice("abc"), [made(depth - 1) for _ in range(rng.randint(0, 3) if depth else 0)]
+
+    def shape(t):
+        parents, labels = [], []
+
+        def walk(node, parent):
+            parents.append(parent)
+            labels.append(ord(node[0]))
+            me = len(labels) - 1
+            for c in node[1]:
+                walk(c, me)
+
+        walk(t, -1)
+        return wrapper.Shape(parents, labels, [0] * len(labels))
+
+    def best(a, b):
+        if a[0] != b[0]:
+            return 0
+        rows = [[0] * (len(b[1]) + 1) for _ in range(len(a[1]) + 1)]
+        for i, x in enumerate(a[1], 1):
+            for j, y in enumerate(b[1], 1):
+                rows[i][j] = max(rows[i - 1][j], rows[i][j - 1], rows[i - 1][j - 1] + best(x, y))
+        return 1 + rows[-1][-1]
+
+    for _ in range(300):
+        a, b = made(4), made(4)
+        x, y = shape(a), shape(b)
+        pairs = list(wrapper.Alignment(x, y).pairs())
+        assert len({p for p, _ in pairs}) == len({q for _, q in pairs}) == len(pairs) and all(x.labels[p] == y.labels[q] for p, q in pairs)
+        if best(a, b):
+            alignment = wrapper.Alignment(x, y)
+            alignment._weigh(0, 0)
+            # Equal subtrees weigh more here, which may prefer them to a larger matching.
+            assert len(pairs) <= best(a, b) and len(pairs) >= 2 * best(a, b) // 3
+
+
+def test_wrapper_on_hostile_markup():
+    import time
+
+    began = time.time()
+    assert wrapper.extract("<div>" * 100_000 + "x") == "x"
+    assert wrapper.extract("<p>a</p>" + "<a " * 3_000_000) == "a"
+    assert wrapper.extract("<p>a</p>" + '<a href="' * 100_000) == "a"
+    assert wrapper.extract("<p>a</p>" + "<!-- " * 100_000 + "</x>" * 100_000) == "a"
+    assert wrapper.extract("x < y <p title='a>b'>c</p> &lt;") == "x < y c <"
+    assert wrapper.extract("<li>" * 20_000 + "z" + "<td>" * 20_000 + "</div>" * 20_000) == "z"
+    assert wrapper.extract("<a " + "x" * 200_000 + ">k</a>") == "k"
+    deep = wrapper.shape_of(wrapper.kept(wrapper.parse("<div>" * 20_000 + "x")))
+    assert len(list(wrapper.Alignment(deep, deep).pairs())) == 20_002
+    assert time.time() - began < 60
+
+
 def test_wrapper_regions_by_varying_text(spark):
     boiler = "<body><article><h1>T {n}</h1><p>story {n} runs on</p><p>Write to us.</p></article></body>"
     teasers = "<body><main><h1>T {n}</h1><div><p>the long story {n} of this page</p></div><article><p>see {n}</p></article><article><p>and {n}</p></article></main></body>"
