@@ -51,6 +51,32 @@ def doubled_rank(x: Column, *by: Column | str) -> Column:
     return (2 * F.rank().over(order) + F.count(F.lit(1)).over(tie) - 1).cast("long")
 
 
+def standing(df: DataFrame, value: str, buckets: int = 256) -> DataFrame:
+    """(value, less, ties): of each distinct value, how many rows have less, and how many it.
+
+    Ranks over a whole table without a task that holds it: rows are counted by value, values fall into
+    ``buckets`` between approximate quantiles, and a bucket's running sum begins at the rows of the
+    buckets before it. Rows without a value don't count.
+    """
+    counts = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("ties"))
+    edges = counts.agg(F.percentile_approx(value, [k / buckets for k in range(1, buckets)], 10_000)).first()[0] or []
+    placed = counts.withColumn("bucket", F.size(F.filter(F.array(*[F.lit(x) for x in sorted(set(edges))]), lambda x: x <= F.col(value))))
+    sums = placed.groupBy("bucket").agg(F.sum("ties").alias("rows"))
+    earlier = sums.select("bucket", (F.sum("rows").over(Window.orderBy("bucket")) - F.col("rows")).alias("offset"))
+    below = F.coalesce(F.sum("ties").over(Window.partitionBy("bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return placed.withColumn("below", below).join(earlier, "bucket").select(value, (F.col("offset") + F.col("below")).alias("less"), "ties")
+
+
+def numbered(df: DataFrame, order: list[Column], bucket: Column, name: str) -> DataFrame:
+    """The rows numbered from 1 in an order, given a bucket that grows with it, such as a hash's head: numbers within a bucket and the rows of buckets before it."""
+    rows = df.withColumn("bucket of rows", bucket)
+    sums = rows.groupBy(F.col("bucket of rows").alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    earlier = sums.select("b", (F.sum("n").over(Window.orderBy("b")) - F.col("n")).alias("rows before"))
+    j = rows.join(F.broadcast(earlier), rows["bucket of rows"].eqNullSafe(earlier["b"]))
+    at = F.row_number().over(Window.partitionBy("bucket of rows").orderBy(*order))
+    return j.withColumn(name, F.col("rows before") + at).select(*df.columns, name)
+
+
 def as_of(facts: DataFrame, cutoffs: DataFrame, on: list[str], ts: str, cutoff: str, within_days: int | None = None, tie: str | None = None) -> DataFrame:
     """The last fact strictly before each cutoff, at most ``within_days`` old; cutoffs without one keep nulls.
 
@@ -58,12 +84,16 @@ def as_of(facts: DataFrame, cutoffs: DataFrame, on: list[str], ts: str, cutoff:
     Keys without a cutoff row give nothing: an unknown cutoff is never guessed.
     """
     keys = [*on, cutoff]
-    facts = facts.withColumn("_f", F.struct(ts, *([tie] if tie else []), *[c for c in facts.columns if c not in (*on, ts, tie)]))
-    near = F.col(f"_f.{ts}") < F.col(cutoff)
+    fact = F.struct(ts, *([tie] if tie else []), *[c for c in facts.columns if c not in (*on, ts, tie)])
+    known = facts.select(*[F.col(c).alias(f"of {c}") for c in on], fact.alias("the fact"))
+    cuts = cutoffs.select(*keys).distinct()
+    near = (F.col("the fact")[ts] < F.col(cutoff)) & F.lit(True)
     if within_days is not None:
-        near &= F.datediff(F.col(cutoff), F.col(f"_f.{ts}")) <= within_days
-    picked = cutoffs.join(facts.select(*on, "_f"), on).where(near).groupBy(*keys).agg(F.max("_f").alias("_f"))
-    return cutoffs.join(picked, keys, "left").select(*cutoffs.columns, "_f.*")
+        near &= F.datediff(F.col(cutoff), F.col("the fact")[ts]) <= within_days
+    for c in on:
+        near &= F.col(c) == F.col(f"of {c}")
+    picked = cuts.join(known, near).groupBy(*keys).agg(F.max("the fact").alias("the fact"))
+    return cutoffs.join(picked, keys, "left").select(*cutoffs.columns, "the fact.*")
 
 
 def islands(df: DataFrame, key: str, day: str) -> DataFrame:

@@ -135,3 +135,11 @@ def hits(text: Column, term: str, negations: tuple[str, ...], window: int = 20)
     before = F.slice(pieces, F.lit(1), F.size(pieces) - 1)
     negated = F.filter(before, lambda p: F.concat(F.lit(" "), F.right(p, F.lit(window)), F.lit(" ")).rlike(f" ({'|'.join(negations)}) "))
     return (F.size(pieces) - 1).cast("long"), F.size(negated).cast("long")
+
+
+def deletions(text: Column) -> Column:
+    """The distinct texts left after deleting none, one or two characters: texts within two edits share one."""
+    without = lambda t, i: F.concat(F.substring(t, F.lit(1), i - 1), F.substring(t, i + 1, F.char_length(t)))
+    each = lambda t: F.when(F.char_length(t) > 0, F.transform(F.sequence(F.lit(1), F.char_length(t)), lambda i: without(t, i))).otherwise(F.array().cast("array<string>"))
+    one = F.array_distinct(each(text))
+    return F.array_distinct(F.concat(F.array(text), one, F.flatten(F.transform(one, each))))

@@ -2,36 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import fits, matching, panel, quality, values
 from ..sources import markup, table
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def add(f: Callable[[SparkSession, str], DataFrame]):
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
-def r6(c):
-    return F.round(c, 6)
-
-
-def off_grid(c):
-    """Rounded to four digits from a point beside the decimal grid: sums of decimals often end in a tie, which engines that add in another order break differently."""
-    return F.round(c + F.lit(1.37e-5), 4)
-
+from .registry import QUERIES, SQL, off_grid, query, r6
 
 def _revenue():
     return F.col("l_extendedprice") * (1 - F.col("l_discount"))
@@ -416,7 +392,9 @@ def status_asof_conflict(spark, d):
 
 @query("SELECT c_custkey, row_number() OVER (ORDER BY sha256(c_name), c_name) AS place, list_sum(list_transform(string_split(sha256(c_name), ''), lambda x: ('0x' || x)::INTEGER))::BIGINT % 3 AS fold FROM customer")
 def hash_order_fold(spark, d):
-    return table(spark, d, "customer", "c_custkey", "c_name").select("c_custkey", F.row_number().over(Window.orderBy(F.sha2("c_name", 256), "c_name")).cast("long").alias("place"), values.fold_of(F.col("c_name")).cast("long").alias("fold"))
+    c = table(spark, d, "customer", "c_custkey", "c_name").withColumn("h", F.sha2("c_name", 256))
+    c = panel.numbered(c, [F.col("h"), F.col("c_name")], F.substring("h", 1, 2), "place")
+    return c.select("c_custkey", F.col("place").cast("long").alias("place"), values.fold_of(F.col("c_name")).cast("long").alias("fold"))
 
 
 @query("""
@@ -521,7 +499,9 @@ WITH r AS (SELECT p_partkey, 2 * rank() OVER (ORDER BY p_retailprice) + count(*)
 SELECT p_partkey, alpha, (10 - alpha) * a + alpha * b AS numerator FROM r, range(0, 11) t(alpha)
 """)
 def rank_blend(spark, d):
-    p = table(spark, d, "part", "p_partkey", "p_retailprice", "p_size").select("p_partkey", panel.doubled_rank(F.col("p_retailprice"), F.lit(0)).alias("a"), panel.doubled_rank(F.col("p_size"), F.lit(0)).alias("b"))
+    p = table(spark, d, "part", "p_partkey", "p_retailprice", "p_size")
+    for value, name in (("p_retailprice", "a"), ("p_size", "b")):
+        p = p.join(panel.standing(p, value).select(value, (2 * F.col("less") + F.col("ties") + 1).alias(name)), value)
     return p.withColumn("alpha", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(10).cast("long")))).select("p_partkey", "alpha", ((10 - F.col("alpha")) * F.col("a") + F.col("alpha") * F.col("b")).alias("numerator"))
 
 
@@ -554,7 +534,7 @@ def reconcile(spark, d):
 
 @query("""
 WITH s AS (SELECT s_suppkey, regexp_extract(s_name, '([0-9]+)$', 1)::BIGINT AS k FROM supplier), c AS (SELECT c_custkey, regexp_extract(c_name, '([0-9]+)$', 1)::BIGINT AS k FROM customer),
-t AS (SELECT s_suppkey, c_custkey, 1 AS tier FROM s JOIN c ON s.k = c.k UNION ALL SELECT s_suppkey, c_custkey, 2 FROM s JOIN c ON s.k % 97 = c.k % 97),
+t AS (SELECT s_suppkey, c_custkey, 1 AS tier FROM s JOIN c ON s.k = c.k UNION ALL SELECT s_suppkey, c_custkey, 2 FROM s JOIN c ON s.k // 4 = c.k // 4),
 b AS (SELECT s_suppkey, tier, count(DISTINCT c_custkey) AS n, min(c_custkey) AS r FROM t GROUP BY ALL)
 SELECT s_suppkey, tier, CASE WHEN n = 1 THEN r END AS c_custkey, CASE WHEN n = 1 THEN 'matched' ELSE 'ambiguous' END AS status FROM b QUALIFY row_number() OVER (PARTITION BY s_suppkey ORDER BY tier) = 1
 """)
@@ -562,17 +542,18 @@ def name_tiers(spark, d):
     s = table(spark, d, "supplier", "s_suppkey", "s_name").select("s_suppkey", F.regexp_extract("s_name", "([0-9]+)$", 1).cast("long").alias("k"))
     c = table(spark, d, "customer", "c_custkey", "c_name").select("c_custkey", F.regexp_extract("c_name", "([0-9]+)$", 1).cast("long").alias("k"))
     exact = s.join(c, "k").select("s_suppkey", "c_custkey", F.lit(1).alias("tier"))
-    loose = s.withColumn("m", F.col("k") % 97).join(c.withColumn("m", F.col("k") % 97), "m").select("s_suppkey", "c_custkey", F.lit(2).alias("tier"))
+    loose = s.withColumn("m", F.floor(F.col("k") / 4)).join(c.withColumn("m", F.floor(F.col("k") / 4)), "m").select("s_suppkey", "c_custkey", F.lit(2).alias("tier"))
     return quality.tiered(exact.unionByName(loose), "s_suppkey", "c_custkey")
 
 
 @query("""
-WITH p AS (SELECT DISTINCT p_name, string_split(p_name, ' ')[1] AS t FROM part)
-SELECT a.p_name AS a, b.p_name AS b, levenshtein(a.p_name, b.p_name) AS dist FROM p a JOIN p b ON a.t = b.t AND a.p_name < b.p_name WHERE levenshtein(a.p_name, b.p_name) <= 2
+WITH p AS (SELECT DISTINCT p_name FROM part)
+SELECT a.p_name AS a, b.p_name AS b, levenshtein(a.p_name, b.p_name) AS dist FROM p a JOIN p b ON a.p_name < b.p_name WHERE levenshtein(a.p_name, b.p_name) <= 2
 """)
 def edit_distance_block(spark, d):
-    p = table(spark, d, "part", "p_name").distinct().withColumn("t", F.split("p_name", " ")[0])
-    j = p.withColumnRenamed("p_name", "a").join(p.withColumnRenamed("p_name", "b"), "t").where("a < b")
+    """Names within two edits: they share what is left of them after deleting up to two letters."""
+    p = table(spark, d, "part", "p_name").distinct().select("p_name", F.explode(values.deletions(F.col("p_name"))).alias("t"))
+    j = p.withColumnRenamed("p_name", "a").join(p.withColumnRenamed("p_name", "b"), "t").where("a < b").select("a", "b").distinct()
     return j.withColumn("dist", F.levenshtein("a", "b", 2)).where("dist >= 0").select("a", "b", F.col("dist").cast("long").alias("dist"))
 
 
@@ -836,3 +817,8 @@ SELECT p.page_id, level, path, length(b[i + 1])::INT AS n_body FROM p JOIN h ON
 def heading_tree(spark, d):
     tree = markup.section_tree(F.col("html"), r"<h([1-6])[^>]*>([^<]*)</h[1-6]>", 1, 2)
     return table(spark, d, "pages", "page_id", "html").select("page_id", F.explode(tree).alias("s")).select("page_id", "s.level", F.array_join("s.path", " / ").alias("path"), F.char_length("s.body").alias("n_body"))
+
+
+from . import cohorts, files, identity, merging  # noqa: E402, F401  they add their queries
+
+__all__ = ["QUERIES", "SQL"]

@@ -100,11 +100,12 @@ def test_stream_equals_table(spark, tmp_path):
 
 def test_sink_is_idempotent(spark, tmp_path):
     write, at = insert_absent(f"{tmp_path}/out", "k"), f"{tmp_path}/out"
-    batch = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    batch = spark.createDataFrame([(1, "a"), (2, "b"), (None, "n")], "k int, v string")
     write(batch, 0)
     write(batch, 0)
-    write(spark.createDataFrame([(2, "c"), (3, "d")], "k int, v string"), 1)
-    assert sorted(map(tuple, spark.read.parquet(at).collect())) == [(1, "a"), (2, "b"), (3, "d")]
+    write(spark.createDataFrame([(2, "c"), (3, "d"), (None, "m")], "k int, v string"), 1)
+    write(batch, 0)
+    assert sorted(map(tuple, spark.read.parquet(at).select("k", "v").collect()), key=str) == [(1, "a"), (2, "b"), (3, "d"), (None, "n")]
 
 
 def test_ledger(spark):
@@ -117,6 +118,8 @@ def test_ledger(spark):
         before = now
     schema = "i int, payload string, previous string, digest string"
     assert broken_links(spark.createDataFrame(log, schema), "i", "payload", "previous", "digest").count() == 0
+    gap = spark.createDataFrame(log[:1] + log[2:], schema)
+    assert [r["i"] for r in broken_links(gap, "i", "payload", "previous", "digest").collect()] == [2]
     log[2] = (2, "forged", *log[2][2:])
     assert [r["i"] for r in broken_links(spark.createDataFrame(log, schema), "i", "payload", "previous", "digest").collect()] == [2]
 
