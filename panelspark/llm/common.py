@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 #: A word of the contracts: a run of bytes other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
+ROWS_A_FILE = 50_000
 SPACE = r"[\x20\x09-\x0D]+"
 
 
@@ -30,9 +31,11 @@ def shared_dir(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """The rows as a table written to the shared folder: lineage ends here, and a lost executor costs nothing. ``discard`` deletes it."""
+def cut(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """The rows as a table written to the shared folder: lineage ends here, and a lost executor costs nothing. ``discard`` deletes it. ``rows``: about how many there are, where that is known, so that few rows don't become many files."""
     spark = df.sparkSession
+    if rows is not None:
+        df = df.coalesce(max(6, rows // ROWS_A_FILE))
     at = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(at)
     out = spark.read.schema(df.schema).parquet(at)
@@ -68,7 +71,7 @@ def settled(make: Callable[[], DataFrame]) -> DataFrame:
 
 def small_batches(spark: SparkSession) -> None:
     """Bounds what a Python worker holds at once, rows and bytes of an Arrow batch, by the same numbers for all operators; bounds that the session has set stay."""
-    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", 256), ("spark.sql.execution.arrow.maxBytesPerBatch", 16 << 20)):
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", 256), ("spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20)):
         if spark.conf.get(key) == spark.sparkContext._jvm.org.apache.spark.sql.internal.SQLConf().getConfString(key):
             spark.conf.set(key, str(most))
 

@@ -17,16 +17,17 @@ def components(edges: DataFrame) -> DataFrame:
     meet in one task; the edges are never more than at the start. Each round is written to the shared
     folder, and takes the place of the one before. Null ends and loops are ignored.
     """
-    e = cut(edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    n = edges.count()
+    e = cut(edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), n)
     state = None
     while True:
         both = e.select("a", "b").unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        e1 = cut(large.where("a != b"))
+        e1 = cut(large.where("a != b"), n)
         low = e1.groupBy("a").agg(F.min("b").alias("m"))
         small = e1.join(low, "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
-        before, e = e, cut(small.where("a != b").distinct())
+        before, e = e, cut(small.where("a != b").distinct(), n)
         discard(before, e1)
         now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == state:

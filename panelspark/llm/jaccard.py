@@ -51,6 +51,7 @@ MOST_OFTEN = 4_000_000
 BUCKET = 2_000_000
 FEW = 500_000
 MOST_WORDS = 100_000
+HELD = 1_500_000
 MOST_GROUPS = 200_000
 
 
@@ -131,7 +132,7 @@ def _counted(batches: Iterator[pa.RecordBatch], n: int, bits: int) -> Iterator[p
         for text in batch.column(0).to_pylist():
             parts.append(shingles(text, n))
             held += len(parts[-1])
-            if held > 4_000_000:
+            if held > HELD:
                 yield packed(parts)
                 parts, held = [], 0
     if held:
@@ -236,7 +237,7 @@ def _emitted(batches: Iterator[pa.RecordBatch], n: int, order: Order) -> Iterato
         if size := sum(len(x[0]) for x in often):
             spread = lambda i: np.concatenate([np.full(len(x[0]), x[i]) for x in often])
             yield rows({"kind": np.full(size, 2, np.int8), "token": np.concatenate([x[0] for x in often]), "n": spread(1).astype(np.int32), "pos": np.concatenate([x[2] for x in often]).astype(np.int32), "grp": spread(3), "rare": spread(4).astype(np.int32)}, size)
-        if held > 2_000_000:
+        if held > HELD:
             yield flushed()
             held = 0
     if held:
@@ -386,7 +387,7 @@ def _links(rows: DataFrame, sets: DataFrame, pairs: DataFrame, n: int, percent:
     signed = pairs.join(u, "a").join(v, "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
     pairs = cut(signed.mapInArrow(lambda it: _near(it, percent), "a long, b long"))
     of = sets.groupBy("set_id").agg(F.min("of").alias("of")).select("set_id", F.col("of.doc_id").alias("_id"), F.col("of.text_key").alias("_key"))
-    wanted = cut(pairs.select(F.col("a").alias("set_id")).unionByName(pairs.select(F.col("b").alias("set_id"))).distinct().join(of, "set_id"))
+    wanted = cut(pairs.select(F.col("a").alias("set_id")).unionByName(pairs.select(F.col("b").alias("set_id"))).distinct().join(of, "set_id"), 2 * pairs.count())
     ids = F.broadcast(wanted) if wanted.count() <= few else wanted
     texts = cut(rows.join(ids, rows["doc_id"].eqNullSafe(ids["_id"]) & (rows["text_key"] == ids["_key"])).select("set_id", "text"))
     if texts.groupBy("set_id").count().where("count > 1").limit(1).count():  # repeated rows
