@@ -1,19 +1,21 @@
 """Toxicity by weak supervision: lexicon and pattern voters, a generative label model, a linear classifier.
 
-1. Voters. From labelled texts, words and word stems (prefixes of 4 to 7 letters) that mark toxic
-   texts far beyond chance become a lexicon, in whatever language they are; near copies are thinned
-   first, so that a much copied text doesn't teach its every word. Each of the most covering entries
-   is a voter, as are patterns (insults in English, threats, shouting, runs of marks) and, for the
-   other side, texts without any entry and texts with very few for their length. Voters may abstain.
+1. Voters. From labelled texts, words and word stems (their first 4 to 7 letters) that mark toxic texts
+   far beyond chance become a lexicon, in whatever language they are; near copies are thinned first, so
+   that a much copied text doesn't teach its every word. Every entry is a voter, as are patterns
+   (insults in English, threats, shouting, runs of marks) and, for the other side, texts without any
+   entry and texts with very few for their length. Voters may abstain.
 2. Label model. Given the hidden label, votes are independent but for correlated groups: EM estimates
-   each voter's rates under either label; pairs whose votes agree beyond what the label explains form
-   groups, whose votes share one voter's weight. The given label is one more voter.
+   how often each voter speaks under either label; voters whose votes agree beyond what the label
+   explains form groups, whose votes share one voter's weight. ``gold`` says whether the given label is
+   one more voter; ``report`` gives what the model finds with and without it.
 3. Classifier. Logistic regression on counts of lexicon entries and patterns is fitted to the
    posterior labels. Its score is the probability; lang, source, doc_id and labels are no inputs.
 
-Bounds: the fit uses at most ``max_docs`` labelled texts, chosen by a hash of doc_id, whole texts;
-the lexicon has at most ``max_entries`` entries. Only votes and counts of the sample, and counts of
-candidate words, reach the driver. Scoring reads each whole text once, without a shuffle.
+Bounds: the fit uses at most ``max_docs`` labelled texts, chosen by a hash of doc_id, whole texts; all
+else follows from those: the lexicon is as long as the false discovery rate lets it be. Only votes and
+counts of the sample, and candidate words, reach the driver. Scoring reads each whole text once, without
+a shuffle.
 """
 
 from __future__ import annotations
@@ -25,19 +27,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import cut, small_batches
 
 MAX_DOCS = 12_000
-MAX_ENTRIES = 2_000
 MOST_WORDS = 100_000
 FALSE_SHARE = 0.3
-MAX_VOTERS = 96
+BLOCK = 512
 STEMS = (4, 5, 6, 7)
 THRESHOLD = 0.7
+GOLD = False
 WORD = re.compile(r"[^\W\d_]+")
 
 # English insults and threats, for the pattern voters.
@@ -136,7 +138,7 @@ def _sample(docs: DataFrame, labels: DataFrame, max_docs: int) -> DataFrame:
     return cut(known.select("doc_id", "toxic", "text").dropDuplicates(["doc_id"]))
 
 
-def _mined(sample: DataFrame, toxic: int, total: int, max_entries: int) -> list[str]:
+def _mined(sample: DataFrame, toxic: int, total: int) -> list[str]:
     """Words and stems that mark toxic texts beyond chance, strongest first."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,38 +160,58 @@ def _mined(sample: DataFrame, toxic: int, total: int, max_entries: int) -> list[
     gain = F.col("pos") * F.log(p / base) + F.when(F.col("n") > F.col("pos"), (F.col("n") - F.col("pos")) * F.log((1 - p) / (1 - base))).otherwise(0.0)
     # Log-likelihood gain over chance, against the number of candidates tried: false discoveries stay under their share.
     tried = counts.count()
-    rows = counts.where(p > min(0.95, 3 * base)).withColumn("gain", gain).orderBy(F.desc("gain"), "key").limit(max_entries).collect()
+    telling = counts.where(p > min(0.95, 3 * base)).withColumn("gain", gain).where(F.col("gain") >= -math.log(FALSE_SHARE))
+    rows = sorted(telling.collect(), key=lambda r: (-r["gain"], r["key"]))  # as many as the sample's vocabulary at most
     last = max((k for k, r in enumerate(rows, 1) if r["gain"] >= math.log(max(tried, 1) / (FALSE_SHARE * k))), default=0)
     return [r["key"] for r in rows[:last]]
 
 
-def label_model(votes: np.ndarray, prior: float, rounds: int = 40) -> tuple[np.ndarray, np.ndarray]:
-    """Votes (rows x voters, in -1 abstain, 0, 1) -> posterior of label 1, and each voter's share of its group's weight."""
-    n, v = votes.shape
-    hit = np.stack([votes == k for k in (-1, 0, 1)]).astype(float)  # 3 x n x v
-    lean = (votes == 1).sum(1) - (votes == 0).sum(1)
+def label_model(fired: list[list[int]], sides: np.ndarray, prior: float, rounds: int = 40) -> tuple[np.ndarray, np.ndarray]:
+    """The voters that spoke on each row, and the label that each voter speaks for -> posterior of label 1, and each voter's share of its group's weight."""
+    n, v = len(fired), len(sides)
+    row = np.array([i for i, f in enumerate(fired) for _ in f], dtype=np.int64)
+    col = np.array([j for f in fired for j in f], dtype=np.int64)
+    lean = np.bincount(row, np.where(sides == 1, 1.0, -1.0)[col], n)
     q = 1 / (1 + np.exp(-(lean + np.log(prior / (1 - prior)))))
     share = np.ones(v)
     for step in range(rounds):
-        rates = []
-        for w in (q, 1 - q):
-            c = np.einsum("knv,n->kv", hit, w) + 0.5
-            rates.append(c / c.sum(0))
-        weight = np.log(rates[0]) - np.log(rates[1])  # 3 x v
+        spoke = [np.bincount(col, w[row], v) for w in (q, 1 - q)]
+        rate = [(s + 0.5) / (w.sum() + 1) for s, w in zip(spoke, (q, 1 - q), strict=True)]
+        silent = np.log1p(-rate[0]) - np.log1p(-rate[1])
+        weight = np.log(rate[0]) - np.log(rate[1]) - silent
         if step == rounds // 2 and n > 3:
-            # Correlated voters: what votes have in common beyond the label. Groups share one vote.
-            x = np.where(votes == -1, 0.0, 2.0 * votes - 1)
-            expect = np.outer(q, (x * q[:, None]).sum(0) / max(q.sum(), 1e-9)) + np.outer(1 - q, (x * (1 - q)[:, None]).sum(0) / max((1 - q).sum(), 1e-9))
-            r = x - expect
-            sd = np.sqrt((r * r).sum(0)) + 1e-9
-            close = np.abs(r.T @ r / np.outer(sd, sd)) > 0.6
-            share = 1 / np.maximum(1, (close & (np.abs(weight).sum(0) > 0)).sum(0))
-        z = np.log(prior / (1 - prior)) + np.einsum("knv,kv->n", hit, weight * share)
+            share = 1 / _group_sizes(row, col, q, spoke, n, v)
+        z = np.log(prior / (1 - prior)) + (share * silent).sum() + np.bincount(row, (share * weight)[col], n)
         q = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
         prior = float(np.clip(q.mean(), 1e-3, 1 - 1e-3))
     return q, share
 
 
+def _group_sizes(row: np.ndarray, col: np.ndarray, q: np.ndarray, spoke: list[np.ndarray], n: int, v: int) -> np.ndarray:
+    """How many voters, itself included, each voter is correlated with beyond what the label explains: over 0.6 of what is left of their votes. Moments alone, BLOCK voters at a time."""
+    s1, s0 = spoke
+    m1, m0 = s1 / max(q.sum(), 1e-9), s0 / max((1 - q).sum(), 1e-9)
+    q11, q10, q00 = float((q * q).sum()), float((q * (1 - q)).sum()), float(((1 - q) ** 2).sum())
+
+    def left(together: np.ndarray, a: slice, b: slice) -> np.ndarray:
+        cross = np.outer(m1[a], s1[b]) + np.outer(m0[a], s0[b]) + np.outer(s1[a], m1[b]) + np.outer(s0[a], m0[b])
+        return together - cross + q11 * np.outer(m1[a], m1[b]) + q10 * (np.outer(m1[a], m0[b]) + np.outer(m0[a], m1[b])) + q00 * np.outer(m0[a], m0[b])
+
+    every = slice(0, v)
+    own = s1 + s0 - 2 * (m1 * s1 + m0 * s0) + q11 * m1 * m1 + 2 * q10 * m1 * m0 + q00 * m0 * m0
+    sd = np.sqrt(np.maximum(own, 0)) + 1e-9
+    sizes = np.zeros(v)
+    for at in range(0, v, BLOCK):
+        b = slice(at, min(v, at + BLOCK))
+        votes = np.zeros((n, b.stop - at), np.float32)
+        mine = (col >= at) & (col < b.stop)
+        votes[row[mine], col[mine] - at] = 1
+        together = np.zeros((v, b.stop - at))
+        np.add.at(together, col, votes[row])
+        sizes[b] = (np.abs(left(together, every, b) / np.outer(sd, sd[b])) > 0.6).sum(0)
+    return np.maximum(1, sizes)
+
+
 def _logistic(rows: list[dict[int, float]], width: int, y: np.ndarray, l2: float = 1.0, rounds: int = 300) -> tuple[np.ndarray, float]:
     """Sparse logistic regression by accelerated gradient steps."""
     at = np.array([i for i, r in enumerate(rows) for _ in r], dtype=np.int64)
@@ -214,68 +236,62 @@ def _logistic(rows: list[dict[int, float]], width: int, y: np.ndarray, l2: float
     return w, float(b)
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, max_entries: int = MAX_ENTRIES) -> Model:
+class Sample:
+    """What is fitted on: lexicon entries, counts of entries and patterns by row, words by row, given labels."""
+
+    def __init__(self, docs: DataFrame, labels: DataFrame, max_docs: int):
+        small_batches(docs.sparkSession)
+        sample = _sample(docs, labels, max_docs)
+        total, toxic = sample.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+        self.entries = entries = _mined(sample, toxic, total)
+        if not entries:
+            return
+
+        def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            model = Model(entries, np.zeros(len(entries) + PATTERNS), 0.0)
+            for batch in batches:
+                out = []
+                for text in batch.column("text").to_pylist():
+                    text = text or ""
+                    low = text.lower()
+                    words = WORD.findall(low)
+                    f = dict(model.hits(words)) | {len(entries) + i: n for i, n in enumerate(pattern_counts(text, low)) if n}
+                    out.append((list(f), list(f.values()), len(words)))
+                yield pa.RecordBatch.from_arrays([batch.column("toxic").cast(pa.int64()), *(pa.array([x[i] for x in out], pa.list_(pa.int64())) for i in (0, 1)), pa.array([x[2] for x in out], pa.int64())], names=["toxic", "at", "n", "words"])
+
+        got = sample.select("toxic", "text").mapInArrow(featured, "toxic long, at array<long>, n array<long>, words long").toArrow().to_pydict()
+        self.rows = [dict(zip(a, x, strict=True)) for a, x in zip(got["at"], got["n"], strict=True)]
+        self.gold, self.words = np.array(got["toxic"]), got["words"]
+
+    def posterior(self, gold: bool) -> np.ndarray:
+        """The label model's belief in label 1 for each row. Voters: entries and patterns for 1, no sign and few signs for 0; with ``gold`` the given label, for either."""
+        width = len(self.entries) + PATTERNS
+        sides = np.array([1] * width + [0, 0, 1, 0][: 4 if gold else 2])
+        fired = []
+        for f, words, label in zip(self.rows, self.words, self.gold, strict=True):
+            hits = sum(n for k, n in f.items() if k < len(self.entries))
+            fired.append([*f, *([width] if not f else []), *([width + 1] if hits * 2000 < words else []), *([width + 3 - int(label)] if gold else [])])
+        return label_model(fired, sides, float(np.clip(self.gold.mean(), 0.01, 0.99)))[0]
+
+    def model(self, gold: bool) -> Model:
+        w, b = _logistic([{k: 1 + math.log(n) for k, n in f.items()} for f in self.rows], len(self.entries) + PATTERNS, self.posterior(gold), l2=0.05)
+        return Model(self.entries, w, b)
+
+
+def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, gold: bool = GOLD) -> Model:
     """A model from the labelled texts. Without usable labels, or with one class only, it holds the English patterns alone."""
-    spark: SparkSession = docs.sparkSession
-    small_batches(spark)
-    sample = _sample(docs, labels, max_docs)
-    total, toxic = sample.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
-    entries = _mined(sample, toxic, total, max_entries)
-    if not entries:
-        return Model([], np.array([4.0, 4.0, 0.5, 0.5]), -4.0)
-    width = len(entries) + PATTERNS
-
-    def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Model(entries, np.zeros(width), 0.0)
-        for batch in batches:
-            out = []
-            for text in batch.column("text").to_pylist():
-                text = text or ""
-                low = text.lower()
-                words = WORD.findall(low)
-                f = dict(model.hits(words)) | {len(entries) + i: n for i, n in enumerate(pattern_counts(text, low)) if n}
-                out.append((list(f), list(f.values()), len(words)))
-            yield pa.RecordBatch.from_arrays([batch.column("toxic").cast(pa.int64()), *(pa.array([x[i] for x in out], pa.list_(pa.int64())) for i in (0, 1)), pa.array([x[2] for x in out], pa.int64())], names=["toxic", "at", "n", "words"])
-
-    got = sample.select("toxic", "text").mapInArrow(featured, "toxic long, at array<long>, n array<long>, words long").toArrow().to_pydict()
-    rows = [dict(zip(a, x, strict=True)) for a, x in zip(got["at"], got["n"], strict=True)]
-    gold, words = np.array(got["toxic"]), np.array(got["words"])
-    # The most covering entries vote one by one; what they don't cover is left to the classifier.
-    covers: dict[int, set[int]] = {}
-    for r, f in enumerate(rows):
-        for k in f:
-            covers.setdefault(k, set()).add(r)
-    missing = set(np.flatnonzero(gold == 1).tolist())
-    voters: list[int] = []
-    while len(voters) < MAX_VOTERS and covers:
-        best = max((k for k in covers if k < len(entries) and k not in voters), key=lambda k: (len(covers[k] & missing), len(covers[k]), -k), default=None)
-        if best is None:
-            break
-        if not covers[best] & missing:
-            if missing == set(np.flatnonzero(gold == 1).tolist()):
-                break
-            missing = set(np.flatnonzero(gold == 1).tolist())
-            if len(voters) > MAX_VOTERS // 2:
-                break
-        voters.append(best)
-        missing -= covers[best]
-    votes = np.full((len(rows), len(voters) + PATTERNS + 3), -1, dtype=np.int8)
-    for r, f in enumerate(rows):
-        entry_hits = sum(n for k, n in f.items() if k < len(entries))
-        for j, k in enumerate(voters):
-            if k in f:
-                votes[r, j] = 1
-        for i in range(PATTERNS):
-            if len(entries) + i in f:
-                votes[r, len(voters) + i] = 1
-        if not f:
-            votes[r, -3] = 0
-        if entry_hits * 2000 < words[r]:
-            votes[r, -2] = 0
-    votes[:, -1] = gold
-    posterior, _ = label_model(votes, float(np.clip(gold.mean(), 0.01, 0.99)))
-    w, b = _logistic([{k: 1 + math.log(n) for k, n in f.items()} for f in rows], width, posterior, l2=0.05)
-    return Model(entries, w, b)
+    sample = Sample(docs, labels, max_docs)
+    return sample.model(gold) if sample.entries else Model([], np.array([4.0, 4.0, 0.5, 0.5]), -4.0)
+
+
+def report(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS) -> dict[str, dict[str, float]]:
+    """With and without the given label as a voter: rows, voters, and of the posterior at a half its precision and recall against the given labels of the sample."""
+    sample, out = Sample(docs, labels, max_docs), {}
+    for gold in (True, False) if sample.entries else ():
+        found = sample.posterior(gold) >= 0.5
+        both = float((found & (sample.gold == 1)).sum())
+        out["with" if gold else "without"] = {"rows": len(found), "entries": len(sample.entries), "precision": both / max(1.0, float(found.sum())), "recall": both / max(1.0, float((sample.gold == 1).sum()))}
+    return out
 
 
 def score(df: DataFrame, model: Model, text: str = "text") -> Column:
