@@ -8,9 +8,10 @@ are calibrated on made texts that the fit hasn't seen. A named family is confirm
 template of that family, as word trigrams, stands in the paragraph. Lines are paragraphs; lines in a
 row that aren't confirmed alone are scanned joined as well, and a confirmed run takes their place.
 
-Only n-grams of the notices carry weight, so a paragraph without any of their telling words is
-unknown at once; that is the model's answer, not a shortcut around it. Every paragraph of every text
-is read whole. The model has a fixed size and is fitted on the driver from the notices alone.
+Only n-grams of the notices carry weight; a paragraph without any gets what the bias alone says, as any
+other gets its sum. Every paragraph of every text is read whole. The model has a fixed size and is
+fitted on the driver from the notices alone. ``evaluate`` gives its accuracy on made rows that neither
+the fit nor the calibration has seen.
 """
 
 from __future__ import annotations
@@ -34,10 +35,14 @@ from .common import small_batches
 NOTICES = {
     "AGPL-3.0": ["This work is licensed under the GNU Affero General Public License, version 3.", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."],
     "Apache-2.0": ["Licensed under the Apache License, Version 2.0.", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0", "SPDX-License-Identifier: Apache-2.0"],
+    "Artistic-2.0": ["Licensed under the Artistic License 2.0.", "This program is free software, you can redistribute it and/or modify it under the terms of the Artistic License version 2.0.", "SPDX-License-Identifier: Artistic-2.0"],
     "BSD-2-Clause": ["Licensed under the BSD 2-Clause License.", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.", "SPDX-License-Identifier: BSD-2-Clause"],
     "BSD-3-Clause": ["Licensed under the BSD 3-Clause License.", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.", "SPDX-License-Identifier: BSD-3-Clause"],
+    "BSD-4-Clause": ["Licensed under the BSD 4-Clause License.", "All advertising materials mentioning features or use of this software must display the following acknowledgement: This product includes software developed by the organization.", "SPDX-License-Identifier: BSD-4-Clause"],
     "CC-BY-4.0": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License.", "https://creativecommons.org/licenses/by/4.0/"],
     "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", "https://creativecommons.org/licenses/by-nc/4.0/"],
+    "CC-BY-NC-ND-4.0": ["Licensed under CC BY-NC-ND 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.", "https://creativecommons.org/licenses/by-nc-nd/4.0/"],
+    "CC-BY-NC-SA-4.0": ["Licensed under CC BY-NC-SA 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.", "https://creativecommons.org/licenses/by-nc-sa/4.0/"],
     "CC-BY-ND-4.0": ["Licensed under CC BY-ND 4.0.", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.", "https://creativecommons.org/licenses/by-nd/4.0/"],
     "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "https://creativecommons.org/licenses/by-sa/4.0/"],
     "CC0-1.0": ["Dedicated to the public domain under CC0 1.0.", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work under the CC0 1.0 Universal Public Domain Dedication."],
@@ -45,11 +50,13 @@ NOTICES = {
     "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2.", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."],
     "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3.", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."],
     "ISC": ["Licensed under the ISC License.", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."],
+    "LGPL-2.1": ["This work is licensed under the GNU Lesser General Public License, version 2.1.", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."],
     "LGPL-3.0": ["This work is licensed under the GNU Lesser General Public License, version 3.", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 3 of the License, or (at your option) any later version."],
     "MIT": ["Released under the MIT License.", "Licensed under the MIT License.", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software", "SPDX-License-Identifier: MIT"],
     "MPL-2.0": ["Licensed under the Mozilla Public License 2.0.", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."],
     "Proprietary": ["All rights reserved.", "All rights reserved. No part of this publication may be reproduced, distributed, or transmitted in any form or by any means without the prior written permission of the publisher.", "This software is proprietary and confidential. Unauthorized copying of this file is strictly prohibited."],
     "Unlicense": ["Released under the Unlicense.", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software for any purpose, commercial or non-commercial, and by any means."],
+    "Zlib": ["Licensed under the zlib License.", "This software is provided as-is, without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely", "SPDX-License-Identifier: Zlib"],
 }
 # Text of the unknown class that shares words with licences.
 OTHERS = [
@@ -59,6 +66,7 @@ OTHERS = [
 ]
 FAMILIES = ["unknown", *sorted(NOTICES)]
 TOKEN = re.compile(r"[a-z0-9]+(?:[.\-][a-z0-9]+)*")
+_COMMENT = re.compile(r"^[\s*#/;>|%-]+")
 WIDTH = 1 << 14
 CONFIRM = 0.5
 SEED = 5
@@ -87,6 +95,15 @@ def wrapped(lines: list[tuple[int, str]], confirmed: set[int]) -> list[list[int]
     return [r for r in runs if len(r) > 1]
 
 
+def unwrapped(lines: list[str]) -> str:
+    """Lines joined, without the marks of comments that begin them; a word cut at a hyphen is one again."""
+    out = ""
+    for line in lines:
+        line = _COMMENT.sub("", line).rstrip()
+        out += line if out.endswith("-") else f" {line}"
+    return out
+
+
 def words_of(paragraph: str) -> list[str]:
     return TOKEN.findall(paragraph.lower())
 
@@ -103,8 +120,8 @@ def _slot(gram: str) -> int:
 class Classifier:
     """Weights over hashed n-grams of the notices' vocabulary; one row a family, the unknown class first."""
 
-    def __init__(self, weights: np.ndarray, bias: np.ndarray, vocabulary: frozenset[str], telling: frozenset[str], temperature: float, bound: float):
-        self.weights, self.bias, self.vocabulary, self.telling, self.temperature, self.bound = weights, bias, vocabulary, telling, temperature, bound
+    def __init__(self, weights: np.ndarray, bias: np.ndarray, vocabulary: frozenset[str], temperature: float, bound: float):
+        self.weights, self.bias, self.vocabulary, self.temperature, self.bound = weights, bias, vocabulary, temperature, bound
 
     def features(self, words: list[str]) -> dict[int, float]:
         counts = Counter(g for n in (1, 2, 3) for g in grams(words, n) if g in self.vocabulary)
@@ -123,8 +140,6 @@ class Classifier:
         return p / p.sum()
 
     def predict(self, words: list[str]) -> tuple[str, float]:
-        if self.telling.isdisjoint(words):
-            return "unknown", 1.0
         p = self.probabilities(words)
         k = 1 + int(p[1:].argmax())
         return (FAMILIES[k], float(p[k])) if 1 - p[0] >= self.bound else ("unknown", float(p[0]))
@@ -175,10 +190,7 @@ def _made(rng: random.Random, count: int) -> list[tuple[int, list[str]]]:
 def train(seed: int = SEED, count: int = 40, rounds: int = 150) -> Classifier:
     """Fits and calibrates a classifier from the notices; the same seed gives the same one."""
     vocabulary = frozenset(g for ts in _templates().values() for t in ts for n in (1, 2, 3) for g in grams(t, n)) | frozenset(g for t in OTHERS for n in (1, 2, 3) for g in grams(words_of(t), n))
-    frequent = Counter(w for ts in _templates().values() for w in {x for t in ts for x in t})
-    everyday = {"the", "of", "and", "to", "in", "is", "for", "this", "by", "or", "a", "with", "on", "at", "it", "be", "as", "no", "an", "you", "all", "any", "can", "that", "if", "was", "not", "part", "form", "use", "work"}
-    telling = frozenset(w for w in frequent if w not in everyday)
-    model = Classifier(np.zeros((len(FAMILIES), WIDTH)), np.zeros(len(FAMILIES)), vocabulary, telling, 1.0, 0.5)
+    model = Classifier(np.zeros((len(FAMILIES), WIDTH)), np.zeros(len(FAMILIES)), vocabulary, 1.0, 0.5)
     rng = random.Random(seed)
     rows = _made(rng, count)
     feats = [model.features(w) for _, w in rows]
@@ -218,6 +230,14 @@ def train(seed: int = SEED, count: int = 40, rounds: int = 150) -> Classifier:
     return model
 
 
+def evaluate(seed: int = SEED) -> dict[str, float]:
+    """Shares named right of damaged and embedded rows of another seed: licences, and rows without one."""
+    model, rows = train(seed), _made(random.Random(seed + 99), 20)
+    named = [(FAMILIES[y], model.predict(w)[0]) for y, w in rows]
+    licences, others = [x for x in named if x[0] != "unknown"], [x for x in named if x[0] == "unknown"]
+    return {"licences": sum(a == b for a, b in licences) / len(licences), "unknown": sum(a == b for a, b in others) / len(others)}
+
+
 FOUND = "n_paragraphs long, found array<struct<start: long, length: long, family: string, probability: double, overlap: double, confirmed: boolean>>"
 
 
@@ -244,7 +264,7 @@ def scan(df: DataFrame, text: str = "text", confirm: float = CONFIRM) -> DataFra
                 share = compared(words[k], family)
                 found[k] = {"start": at, "length": len(paragraph), "family": family, "probability": p, "overlap": share, "confirmed": share >= confirm}
         for run in wrapped(lines, {k for k, x in found.items() if x["confirmed"]}):
-            joined = [w for k in run for w in words[k]]
+            joined = words_of(unwrapped([lines[k][1] for k in run]))
             family, p = m.predict(joined)
             # Long foreign text around a notice hides it from the classifier, not from its lines' families.
             named = {x["family"]: x["probability"] for x in (found[k] for k in run if k in found)} | ({family: p} if family != "unknown" else {})
