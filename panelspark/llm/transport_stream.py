@@ -111,7 +111,7 @@ def demux(media: bytes) -> dict:
     if len(media) % 188:
         raise Broken("not a whole number of packets")
     pmt = stream = -1
-    counters: dict[int, int] = {}
+    counters: dict[int, tuple[int, int, bool]] = {}
     gaps = 0
     pieces: list[list[bytes]] = []
     entries: list[bool] = []
@@ -123,9 +123,13 @@ def demux(media: bytes) -> dict:
         start, body, entry = b1 & 0x40, at + 4, False
         if not b3 & 0x10:
             continue  # no payload: the counter stands still
-        if (before := counters.get(pid)) is not None and b3 & 15 != before + 1 & 15:
-            gaps += 1
-        counters[pid] = b3 & 15
+        if (known := counters.get(pid)) is not None:
+            before, packet, repeated = known
+            if b3 & 15 == before and not repeated and media[at : at + 188] == media[packet : packet + 188]:
+                counters[pid] = before, packet, True  # a packet may be sent twice; the second says nothing new
+                continue
+            gaps += b3 & 15 != before + 1 & 15
+        counters[pid] = b3 & 15, at, False
         if b3 & 0x20:
             length = media[body]
             entry = bool(length and media[body + 1] & 0x40)
