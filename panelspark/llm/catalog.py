@@ -64,7 +64,8 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations")
-    return transcripts.digest(transcripts.parse_turns(turns.select("conv_id", "turn", "text"), transcripts.fit(turns)))
+    model = transcripts.fit(turns.where(~transcripts.held_out(F.col("conv_id"))))
+    return transcripts.digest(transcripts.parse_turns(turns.select("conv_id", "turn", "text"), model))
 
 
 QUERIES = {f.__name__: f for f in (op1_nearest_neighbours, op2_license_scan, op3_main_text, op4_line_dedup, op5_media_columns, op6_byte_bpe, op7_toxicity, op8_jaccard_join, op9_mixing, op10_chat_format)}

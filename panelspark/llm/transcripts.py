@@ -8,9 +8,12 @@ prior counts, as training turns seldom have any. Viterbi gives the likeliest rol
 rendered as ``<|role|>\\n text \\n<|end|>`` with its marker removed.
 
 Scale: a conversation may hold a third of all turns. It is dealt in chunks of CHUNK turns by turn
-number. Viterbi is a product of matrices over (max, +): each chunk gives the best score from each
-role before it to each role at its end, a scan over a conversation's chunks (one 3 x 3 matrix each)
-fixes the roles at the chunk borders, and every chunk is then decoded alone between its borders.
+number; turns that repeat a number are spread over parts of their own by a hash, in its order. Viterbi
+is a product of matrices over (max, +): each chunk gives the best score from each role before it to
+each role at its end. Matrices of FAN chunks in a row are multiplied into one, and those again, until
+a conversation has at most FAN; roles at the borders are then fixed from the top down, level by level,
+so no task sees more than FAN matrices of a conversation. Every chunk is decoded alone between its
+borders. A conversation's digest is made of sums over its chunks.
 """
 
 from __future__ import annotations
@@ -22,13 +25,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut, small_batches
 
 ROLES = ("system", "user", "assistant")
 CHUNK = 256
+FAN = 256
 MAX_TURNS = 200_000
 
 # Speaker markers of transcripts, by role.
@@ -133,24 +137,95 @@ def fit(turns: DataFrame, max_turns: int = MAX_TURNS) -> Hmm:
     return Hmm(starts, moves, seen)
 
 
+def held_out(conv_id: Column) -> Column:
+    """Conversations that nothing is learned from; a null id counts as the empty text."""
+    return F.crc32(F.coalesce(conv_id.cast("string"), F.lit("")).cast("binary")) % 3 == 1
+
+
 def rendered(texts: list[str], roles: list[str]) -> str:
     return "\n".join(f"<|{r}|>\n{marker(t)[1].strip()}\n<|end|>" for t, r in zip(texts, roles, strict=True))
 
 
+def _scan(ms: list[np.ndarray], before: int | None, end: int | None) -> list[int]:
+    """Roles at the ends of parts in a row, between a fixed role before them (None: they begin the conversation) and one at their end (None: the best)."""
+    score, back = ms[0][0 if before is None else before], []
+    for m in ms[1:]:
+        step = score[:, None] + m
+        back.append(step.argmax(0))
+        score = step.max(0)
+    ends = [int(score.argmax()) if end is None else end]
+    for b in reversed(back):
+        ends.append(int(b[ends[-1]]))
+    return ends[::-1]
+
+
+def _borders(ms: DataFrame, kind: str, fan: int = FAN) -> DataFrame:
+    """(conv_id, part, m) -> (conv_id, part, before, end): the roles before each part (null: it begins the conversation) and at its end. Parts are numbered with gaps; ``fan`` numbers in a row go into one part of the level above."""
+    schema = f"conv_id {kind}, part long, before int, end int"
+
+    def solved(table: pa.Table, before: int | None, end: int | None) -> pa.Table:
+        table = table.sort_by("part")
+        ends = _scan([np.array(x).reshape(3, 3) for x in table.column("m").to_pylist()], before, end)
+        return pa.table({"conv_id": table.column("conv_id"), "part": table.column("part"), "before": pa.array([before, *ends[:-1]], pa.int32()), "end": pa.array(ends, pa.int32())})
+
+    most = ms.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    if most <= fan:
+        return ms.groupBy("conv_id").applyInArrow(lambda t: solved(t, None, None), schema)
+    # Numbers without gaps for this level: ranks within spans of parts, and the parts of spans before. Spans halve until none holds many.
+    ms = _renumbered(ms, fan)
+
+    def multiplied(table: pa.Table) -> pa.Table:
+        table = table.sort_by("place")
+        m, *rest = [np.array(x).reshape(3, 3) for x in table.column("m").to_pylist()]
+        for x in rest:
+            m = (m[:, :, None] + x[None]).max(1)
+        return pa.table({"conv_id": table.column("conv_id")[:1], "part": table.column("up")[:1], "m": pa.array([m.ravel().tolist()], pa.list_(pa.float64()))})
+
+    above = _borders(cut(ms.groupBy("conv_id", "up").applyInArrow(multiplied, f"conv_id {kind}, part long, m array<double>")), kind, fan)
+    above = above.withColumnsRenamed({"conv_id": "_c", "part": "_u", "before": "_before", "end": "_end"})
+    inside = ms.join(above, F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col("up") == F.col("_u"))).select("conv_id", "part", "m", "up", "_before", "_end")
+    return inside.groupBy("conv_id", "up").applyInArrow(lambda t: solved(t, t.column("_before")[0].as_py(), t.column("_end")[0].as_py()), schema)
+
+
+def _renumbered(ms: DataFrame, fan: int) -> DataFrame:
+    """The rows with ``place``, their number within the conversation, and ``up``, place // fan. Parts are ranked within spans of part numbers, found by counting, that hold ``fan`` parts at most each; spans before a span are added up by the same means one level above, so no window holds a whole hot conversation."""
+    spread = ms.groupBy("conv_id").agg(F.min("part").alias("_lo"), F.max("part").alias("_hi"), F.count(F.lit(1)).alias("_n")).withColumnRenamed("conv_id", "_c")
+    j = ms.join(spread, F.col("conv_id").eqNullSafe(F.col("_c"))).drop("_c")
+    # Equal spans of numbers: parts are 2 ** 32 apart but for those of crowded numbers.
+    span = F.floor((F.col("part") - F.col("_lo")) / F.greatest(F.lit(1), F.floor((F.col("_hi") - F.col("_lo")) * fan / F.col("_n")))).cast("long")
+    j = j.withColumn("_span", span)
+    counts = j.groupBy("conv_id", "_span").agg(F.count(F.lit(1)).alias("_k"))
+    before = counts.select(F.col("conv_id").alias("_c"), F.col("_span").alias("_s"), (F.sum("_k").over(Window.partitionBy("conv_id").orderBy("_span")) - F.col("_k")).alias("_before"))
+    j = j.join(before, F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col("_span") == F.col("_s")))
+    place = F.col("_before") + F.row_number().over(Window.partitionBy("conv_id", "_span").orderBy("part")) - 1
+    return cut(j.withColumn("place", place).select("conv_id", "part", "m", "place", F.floor(F.col("place") / fan).alias("up")))
+
+
 def parse_turns(turns: DataFrame, model: Hmm, chunk: int = CHUNK) -> DataFrame:
     """Turns (conv_id, turn, text) -> a row per chunk of a conversation: conv_id, part, turns, roles, text (canonical).
 
     Nulls: a null text is an empty block; null conv_ids are one conversation; null turn numbers come
     before all others. Equal (conv_id, turn, text) rows count once; turns with one number stand in
-    the order of their texts. A text without lines is an empty block. An empty table gives no rows.
+    the order of their texts' hashes. A text without lines is an empty block. An empty table gives no rows.
     Other columns, a known role among them, are not looked at.
     """
+    if chunk > 256:
+        raise ValueError("a chunk has at most 256 turn numbers")
     spark = turns.sparkSession
     small_batches(spark)
     shared = spark.sparkContext.broadcast(model)
     rows = turns.select("conv_id", F.col("turn").cast("long").alias("turn"), F.coalesce("text", F.lit("")).alias("text")).distinct()
-    part = F.when(F.col("turn").isNull(), -1 - F.pmod(F.xxhash64("text"), F.lit(1024))).otherwise(F.floor(F.col("turn") / chunk)).cast("long")
-    chunks = cut(rows.groupBy("conv_id", part.alias("part")).agg(F.sort_array(F.collect_list(F.struct("turn", "text"))).alias("turns")))
+    # Where far more rows than a chunk's turns share its numbers, each number is a part, or several by the head of the texts' hashes, in the order of (number, hash).
+    number = F.coalesce(F.floor(F.col("turn") / chunk), F.lit(-1))
+    rows = rows.withColumns({"number": number, "h": F.xxhash64("text")})
+    crowd = rows.groupBy(F.col("conv_id").alias("_c"), F.col("number").alias("_n")).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > 4 * chunk)
+    crowd = crowd.select("_c", "_n", F.least(F.ceil(F.log2(F.col("rows") / chunk)), F.lit(24)).cast("int").alias("bits"))
+    rows = rows.join(crowd, F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col("number") == F.col("_n")), "left")
+    slot = F.floor(F.pmod(F.coalesce("turn", F.lit(0)), F.lit(chunk)) * 256 / chunk)
+    head = F.floor((F.floor(F.col("h") / (1 << 40)) + (1 << 23)) / F.pow(F.lit(2.0), 24 - F.col("bits")))
+    within = F.when(F.col("bits").isNull(), F.lit(0.0)).otherwise(slot * F.pow(F.lit(2.0), F.col("bits")) + head)
+    part = (F.col("number") * (1 << 32) + within).cast("long")
+    chunks = cut(rows.groupBy("conv_id", part.alias("part")).agg(F.sort_array(F.collect_list(F.struct("turn", "h", "text"))).alias("turns")))
     spans = chunks.groupBy("conv_id").agg(F.min("part").alias("first_part"), F.count(F.lit(1)).alias("parts")).withColumnRenamed("conv_id", "_c")
     on = F.col("conv_id").eqNullSafe(F.col("_c"))
     placed = chunks.join(spans, on).drop("_c")
@@ -164,24 +239,9 @@ def parse_turns(turns: DataFrame, model: Hmm, chunk: int = CHUNK) -> DataFrame:
                 out.append(m.matrix(m.scores([x["text"] for x in block], start), start).ravel().tolist())
             yield pa.RecordBatch.from_arrays([batch.column("conv_id"), batch.column("part"), pa.array(out, pa.list_(pa.float64()))], names=["conv_id", "part", "m"])
 
-    def bordered(table: pa.Table) -> pa.Table:
-        # All chunks of one conversation, a small matrix each: forwards for the scores, backwards for the roles at the borders.
-        table = table.sort_by("part")
-        ms = [np.array(x).reshape(3, 3) for x in table.column("m").to_pylist()]
-        score, back = ms[0][0], []
-        for m in ms[1:]:
-            step = score[:, None] + m
-            back.append(step.argmax(0))
-            score = step.max(0)
-        ends = [int(score.argmax())]
-        for b in reversed(back):
-            ends.append(int(b[ends[-1]]))
-        ends.reverse()
-        return pa.table({"conv_id": table.column("conv_id"), "part": table.column("part"), "before": pa.array([None, *ends[:-1]], pa.int32()), "end": pa.array(ends, pa.int32())})
-
     kind = dict(turns.dtypes)["conv_id"]
     several = placed.where("parts > 1")
-    borders = several.mapInArrow(matrices, f"conv_id {kind}, part long, m array<double>").groupBy("conv_id").applyInArrow(bordered, f"conv_id {kind}, part long, before int, end int").withColumnsRenamed({"conv_id": "_c", "part": "_p"})
+    borders = _borders(cut(several.mapInArrow(matrices, f"conv_id {kind}, part long, m array<double>")), kind).withColumnsRenamed({"conv_id": "_c", "part": "_p"})
     known = placed.where("parts = 1").select("conv_id", "part", "turns", F.lit(None).cast("int").alias("before"), F.lit(None).cast("int").alias("end")).unionByName(
         several.join(borders, on & (F.col("part") == F.col("_p"))).select("conv_id", "part", "turns", "before", "end")
     )
@@ -210,4 +270,8 @@ def blocks(transcripts: DataFrame, text: str = "text", key: str = "id") -> DataF
 
 
 def digest(parsed: DataFrame) -> DataFrame:
-    return parsed.select("conv_id", "part", F.size("turns").cast("long").alias("n_turns"), F.array_join("roles", ",").alias("roles"), F.char_length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("text_sha256"))
+    """A row per conversation: turns, turns of each role, code points of the rendered chunks, and a digest of all chunks with their places, added up so that no conversation meets in one task."""
+    of = [(F.size("roles") - F.size(F.array_remove("roles", role))).cast("long").alias(role) for role in ROLES]
+    part = parsed.select("conv_id", F.size("roles").cast("long").alias("n"), *of, F.char_length("text").cast("long").alias("chars"), F.xxhash64("part", "text").cast("decimal(38,0)").alias("h"))
+    sums = part.groupBy("conv_id").agg(F.sum("n").alias("n_turns"), *[F.sum(r).alias(f"n_{r}") for r in ROLES], F.sum("chars").alias("n_chars"), F.sum("h").alias("h"))
+    return sums.select("conv_id", held_out(F.col("conv_id")).alias("held_out"), "n_turns", *[f"n_{r}" for r in ROLES], "n_chars", F.sha2(F.col("h").cast("string"), 256).alias("digest"))
