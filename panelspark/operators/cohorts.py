@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
+from .panel import correlation, doubled_rank
+
 
 def _only(df: DataFrame) -> Column:
     """The one row of an aggregate, as a scalar subquery."""
@@ -104,11 +106,9 @@ def shrunk_slopes(df: DataFrame, key: str, cohort: str, x: str, y: str) -> DataF
 
 def rank_correlation(df: DataFrame, cohort: str, a: str, b: str, least: int = 12) -> DataFrame:
     """(rho, n): the mean of the cohorts' Spearman correlations, weighted by rows, over cohorts with ``least`` complete rows in which neither column is constant."""
-    from .panel import doubled_rank
-
     rows = df.where(F.col(a).isNotNull() & F.col(b).isNotNull())
     ranks = rows.select(cohort, doubled_rank(F.col(a), cohort).cast("double").alias("a"), doubled_rank(F.col(b), cohort).cast("double").alias("b"))
-    one = ranks.groupBy(cohort).agg(F.count(F.lit(1)).alias("n"), F.corr("a", "b").alias("r"), F.stddev_pop("a").alias("sa"), F.stddev_pop("b").alias("sb")).where((F.col("n") >= least) & (F.col("sa") > 0) & (F.col("sb") > 0))
+    one = ranks.groupBy(cohort).agg(F.count(F.lit(1)).alias("n"), correlation(F.col("a"), F.col("b")).alias("r"), F.stddev_pop("a").alias("sa"), F.stddev_pop("b").alias("sb")).where((F.col("n") >= least) & (F.col("sa") > 0) & (F.col("sb") > 0))
     return one.agg((F.sum(F.col("r") * F.col("n")) / F.nullif(F.sum("n"), F.lit(0))).alias("rho"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
 
 
@@ -118,7 +118,7 @@ def residual_correlations(df: DataFrame, y: str, pick: str, columns: list[str])
     rows = df.where(F.col(y).isNotNull() & F.col(pick).isNotNull()).withColumn("lp", lp)
     slope = rows.agg((F.covar_pop("lp", y) / F.nullif(F.var_pop("lp"), F.lit(0.0))).alias("b"))
     res = rows.withColumn("left", F.col(y) - _only(slope)["b"] * F.col("lp"))
-    one = res.agg(*[F.corr(c, "left").alias(c) for c in columns])
+    one = res.agg(*[correlation(F.col(c), F.col("left")).alias(c) for c in columns])
     return one.select(F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("r")) for c in columns])).alias("x")).select("x.*")
 
 
@@ -186,11 +186,11 @@ def most_important(importance: DataFrame, column: str, weight: str, most: int =
 def decorrelated(df: DataFrame, ranked: list[str], most: int = 10, bound: float = 0.9) -> list[str]:
     """Columns taken in their order while the correlation with every one taken stays under the bound in size; all correlations come from one pass. A constant column correlates with none."""
     pairs = [(a, b) for i, a in enumerate(ranked) for b in ranked[:i]]
-    got = df.agg(F.lit(0).alias("zero"), *[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{i}") for i, (a, b) in enumerate(pairs)]).first()
+    got = df.agg(F.lit(0).alias("zero"), *[correlation(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{i}") for i, (a, b) in enumerate(pairs)]).first()
     r = {p: got[str(i)] for i, p in enumerate(pairs)}
     taken: list[str] = []
     for c in ranked:
-        if len(taken) < most and all(r[c, t] is None or r[c, t] != r[c, t] or abs(r[c, t]) < bound for t in taken):
+        if len(taken) < most and all(r[c, t] is None or abs(r[c, t]) < bound for t in taken):
             taken.append(c)
     return taken
 

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
+from .quality import unused
+
 
 def rate(made: Column, tried: Column, scale: float = 1.0) -> Column:
     """A rate from totals, never a mean of rates."""
@@ -27,6 +29,12 @@ def weighted_slope(x: Column, y: Column, w: Column) -> Column:
     return F.when(den > 1e-9, (sw * sxy - sx * sy) / F.nullif(den, F.lit(0.0)))
 
 
+def correlation(a: Column, b: Column) -> Column:
+    """Pearson's correlation over rows that have both; null where one is constant, which corr() refuses to divide by in ANSI mode."""
+    x, y = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
+    return F.covar_pop(x, y) / F.nullif(F.stddev_pop(x) * F.stddev_pop(y), F.lit(0.0))
+
+
 def leave_one_out_mean(x: Column, group: WindowSpec) -> Column:
     """Mean of the others of a group: its total less the row, without a self-join."""
     n = F.count(x).over(group) - F.when(x.isNotNull(), 1).otherwise(0)
@@ -72,7 +80,7 @@ def numbered(df: DataFrame, order: list[Column], bucket: Column, name: str) -> D
     rows = df.withColumn("bucket of rows", bucket)
     sums = rows.groupBy(F.col("bucket of rows").alias("b")).agg(F.count(F.lit(1)).alias("n"))
     earlier = sums.select("b", (F.sum("n").over(Window.orderBy("b")) - F.col("n")).alias("rows before"))
-    j = rows.join(F.broadcast(earlier), rows["bucket of rows"].eqNullSafe(earlier["b"]))
+    j = rows.join(earlier, rows["bucket of rows"].eqNullSafe(earlier["b"]))
     at = F.row_number().over(Window.partitionBy("bucket of rows").orderBy(*order))
     return j.withColumn(name, F.col("rows before") + at).select(*df.columns, name)
 
@@ -119,15 +127,17 @@ def two_regressor_residual(y: Column, x: Column, z: Column, group: WindowSpec, l
 
 def permuted(df: DataFrame, key: str, strata: list[str], value: list[str], seed: int) -> DataFrame:
     """The rows with ``value`` columns dealt to others of the stratum and null pattern, as one vector, by a seeded hash: a control that breaks the link to the key only."""
-    pattern = [F.col(c).isNull().cast("int").alias(f"_null_{c}") for c in value]
-    rows = df.select("*", *pattern)
-    by = [*strata, *[f"_null_{c}" for c in value]]
+    null = {c: unused(f"{c} is null", df) for c in value}
+    at, to = unused("own place", df), unused("dealt place", df)
+    rows = df.withColumns({n: F.col(c).isNull().cast("int") for c, n in null.items()})
+    by = [*strata, *null.values()]
     own, dealt = Window.partitionBy(*by).orderBy(key), Window.partitionBy(*by).orderBy(F.sha2(F.concat_ws("|", F.lit(str(seed)), F.col(key).cast("string")), 256))
-    left = rows.drop(*value).withColumn("_at", F.row_number().over(own))
-    right = rows.select(*[F.col(c).alias(f"_{i}") for i, c in enumerate(by)], *value, F.row_number().over(dealt).alias("_to"))
-    same = F.col("_at") == F.col("_to")
-    for i, c in enumerate(by):
-        same &= F.col(c).eqNullSafe(F.col(f"_{i}"))
+    left = rows.drop(*value).withColumn(at, F.row_number().over(own))
+    of = {c: unused(f"of {c}", df) for c in by}
+    right = rows.select(*[F.col(c).alias(n) for c, n in of.items()], *value, F.row_number().over(dealt).alias(to))
+    same = F.col(at) == F.col(to)
+    for c, n in of.items():
+        same &= F.col(c).eqNullSafe(F.col(n))
     return left.join(right, same).select(*df.columns)
 
 

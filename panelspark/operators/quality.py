@@ -16,24 +16,34 @@ def quarantine(df: DataFrame, group: list[str], bad: Column) -> Column:
     return F.max(F.when(bad, 1).otherwise(0)).over(Window.partitionBy(*group)) == 1
 
 
+def unused(name: str, *frames: DataFrame) -> str:
+    """A name for a working column that no frame has."""
+    taken = {c.lower() for f in frames for c in f.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def unique_or_fail(df: DataFrame, keys: list[str]) -> DataFrame:
     """The rows; the job fails on a key that occurs twice."""
-    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    return df.withColumn("_n", n).where(F.when(F.col("_n") > 1, F.raise_error(F.lit(f"duplicate key over {keys}")).cast("boolean")).otherwise(True)).drop("_n")
+    n = unused("_n", df)
+    times = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    return df.withColumn(n, times).where(F.when(F.col(n) > 1, F.raise_error(F.lit(f"duplicate key over {keys}")).cast("boolean")).otherwise(True)).drop(n)
 
 
 def patch(base: DataFrame, change: DataFrame, key: str, protected: tuple[str, ...] = ()) -> DataFrame:
     """Cell updates: missing or empty keeps, "NA" sets null, a number overwrites; new columns are created, protected ones refused."""
     if broken := [c for c in change.columns if c in protected]:
         raise ValueError(f"protected columns: {broken}")
-    c = change.select(F.col(key).alias("_k"), *[F.col(x).alias(f"_p_{x}") for x in change.columns if x != key])
-    joined = base.join(c, base[key] == c["_k"], "left")
+    new = {x: unused(f"new {x}", base, change) for x in change.columns}
+    c = change.select(*[F.col(x).alias(n) for x, n in new.items()])
+    joined = base.join(c, base[key] == c[new[key]], "left")
     out = []
     for x in [*base.columns, *[x for x in change.columns if x not in base.columns]]:
-        if x == key or f"_p_{x}" not in c.columns:
+        if x == key or x not in new:
             out.append(base[x])
             continue
-        p = F.col(f"_p_{x}")
+        p = c[new[x]]
         kind = base.schema[x].dataType if x in base.columns else "double"
         old = base[x] if x in base.columns else F.lit(None).cast(kind)
         out.append(F.when(p.isNull() | (p == ""), old).when(p == "NA", None).otherwise(p.try_cast(kind)).alias(x))
@@ -42,8 +52,9 @@ def patch(base: DataFrame, change: DataFrame, key: str, protected: tuple[str, ..
 
 def only_one(df: DataFrame, *keys: list[str]) -> DataFrame:
     """Rows that are alone with each of the keys: one-to-one on both sides or nothing."""
+    n = unused("_n", df)
     for k in keys:
-        df = df.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*k))).where("_n = 1").drop("_n")
+        df = df.withColumn(n, F.count(F.lit(1)).over(Window.partitionBy(*k))).where(F.col(n) == 1).drop(n)
     return df
 
 
