@@ -357,7 +357,7 @@ def jaccard_components(docs: DataFrame, n: int = N, percent: int = PERCENT, most
     span = of.groupBy("grp").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("members"))
     runs = long.join(span, "grp")
     open_ = runs.groupBy("token").agg(F.min("lo").alias("l"), F.max("hi").alias("h")).where("l != h").select("token")
-    left = runs.join(open_, "token")
+    left = cut(runs.join(open_, "token"))  # a table of its own: the join with itself is then dealt anew, and a shingle that very many groups share can be split
     x, y = left.alias("x"), left.alias("y")
     in_runs = x.join(y, F.col("x.token") == F.col("y.token")).where("x.grp < y.grp and (x.lo != x.hi or y.lo != y.hi or x.lo != y.lo)").where(fits(F.col("x.n"), F.col("x.pos"), F.col("y.n"), F.col("y.pos"))).select(F.col("x.grp").alias("a"), F.col("y.grp").alias("b"))
     split = span.where("lo != hi").select("grp")
