@@ -457,6 +457,64 @@ def test_toxicity(spark):
     assert len(none) == 11 and all(0 <= r["score"] <= 1 and r["predicted"] == 0 for r in none)
 
 
+def test_label_model_against_plain_loops():
+    import math
+
+    rng = random.Random(9)
+    sides = [1, 1, 1, 0, 0, 1]
+    fired = []
+    for i in range(80):
+        y = i % 3 == 0
+        votes = [j for j, s in enumerate(sides) if rng.random() < (0.7 if (s == 1) == y else 0.2)]
+        fired.append([j for j in votes if j != 1] + ([1] if 0 in votes else []))  # 1 repeats 0
+    q, share = toxicity.label_model(fired, np.array(sides), 0.4, rounds=12)
+    n, v, prior, mine, own = len(fired), len(sides), 0.4, [], [1.0] * len(sides)
+    for f in fired:
+        lean = sum(1 if sides[j] else -1 for j in f)
+        mine.append(1 / (1 + math.exp(-(lean + math.log(prior / (1 - prior))))))
+    for step in range(12):
+        rate = [[(sum(w(mine[i]) for i in range(n) if j in fired[i]) + 0.5) / (sum(map(w, mine)) + 1) for j in range(v)] for w in (lambda x: x, lambda x: 1 - x)]
+        if step == 6:
+            s1, s0 = sum(mine), sum(1 - x for x in mine)
+            m1 = [sum(mine[i] for i in range(n) if j in fired[i]) / s1 for j in range(v)]
+            m0 = [sum(1 - mine[i] for i in range(n) if j in fired[i]) / s0 for j in range(v)]
+            left = [[(j in fired[i]) - mine[i] * m1[j] - (1 - mine[i]) * m0[j] for i in range(n)] for j in range(v)]
+            dot = lambda a, b: sum(x * y for x, y in zip(a, b, strict=True))
+            own = [1 / max(1, sum(abs(dot(left[a], left[b])) / math.sqrt(dot(left[a], left[a]) * dot(left[b], left[b])) > 0.6 for b in range(v))) for a in range(v)]
+        z = [math.log(prior / (1 - prior)) + sum(own[j] * (math.log(rate[0][j] / rate[1][j]) if j in f else math.log((1 - rate[0][j]) / (1 - rate[1][j]))) for j in range(v)) for f in fired]
+        mine = [1 / (1 + math.exp(-x)) for x in z]
+        prior = sum(mine) / n
+    assert np.allclose(q, mine, atol=1e-6) and np.allclose(share, own) and share[0] == share[1] == 0.5
+
+
+def test_toxicity_scores_against_plain_counting(spark):
+    import math
+    import re
+
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.fit(docs, labels)
+    got = {r["doc_id"]: r["s"] for r in docs.select("doc_id", toxicity.score(docs, model).alias("s")).collect()}
+    for r in docs.limit(150).collect():
+        text = r["text"] or ""
+        words = re.findall(r"[^\W\d_]+", text.lower())
+        counts = [sum(w == e or e.endswith("*") and w.startswith(e[:-1]) for w in words) for e in model.entries] + toxicity.pattern_counts(text, text.lower())
+        z = model.bias + sum(w * (1 + math.log(n)) for w, n in zip(model.weights, counts, strict=True) if n)
+        assert abs(got[r["doc_id"]] - 1 / (1 + math.exp(-max(-30, min(30, z))))) < 1e-9
+
+
+def test_licenses_against_comparison_with_every_template(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = {r["doc_id"]: set(filter(None, r["families"].split(","))) for r in catalog.op2_license_scan(spark, "/root/testdata/sf0.01").collect()}
+    for r in docs.select("doc_id", "text").collect():
+        want = set()
+        for _, line in licenses.paragraphs(r["text"]):
+            words = licenses.words_of(line)
+            shares = {f: licenses.compared(words, f) for f in licenses.NOTICES} if len(words) > 2 else {}
+            if shares and max(shares.values()) >= licenses.CONFIRM:
+                want.add(max(shares, key=lambda f: (shares[f], f)))
+        assert got[r["doc_id"]] == want, r["doc_id"]
+
+
 def test_transcripts(spark):
     turns = spark.read.parquet("/root/testdata/sf0.01/conversations.parquet")
     model = transcripts.fit(turns.where(~transcripts.held_out(F.col("conv_id"))))
