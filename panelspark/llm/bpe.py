@@ -28,7 +28,7 @@ from collections.abc import Iterable, Iterator, Sequence
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import small_batches
+from .common import lean, small_batches
 
 MOST_STATES = 120_000
 WAIT = 256
@@ -322,7 +322,7 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text") ->
         c = _of_worker(Codec, ranks.value, pattern)
         return _pass_through(batches, text, lambda texts: {"ids": pa.array([c.encode(t or "") for t in texts], pa.binary())})
 
-    return df.mapInArrow(run, f"{kinds}, ids binary")
+    return df.mapInArrow(lean(run), f"{kinds}, ids binary")
 
 
 def decode(df: DataFrame, ranks_path: str, ids: str = "ids", out: str = "decoded", keep_ids: bool = True) -> DataFrame:
@@ -347,4 +347,4 @@ def decode(df: DataFrame, ranks_path: str, ids: str = "ids", out: str = "decoded
 
         return _pass_through(batches, ids, work)
 
-    return df.mapInArrow(run, f"{kinds}{f', `{ids}` binary' if keep_ids else ''}, `{out}` binary")
+    return df.mapInArrow(lean(run), f"{kinds}{f', `{ids}` binary' if keep_ids else ''}, `{out}` binary")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,6 +76,30 @@ def small_batches(spark: SparkSession) -> None:
             spark.conf.set(key, str(most))
 
 
+def release() -> None:
+    """Gives a Python worker's free memory back to the system: idle workers wait beside busy ones, and keep what they once needed otherwise."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def lean(work: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """The function of batches, whose worker releases its free memory when the task ends."""
+
+    def run(batches: Iterator) -> Iterator:
+        yield from work(batches)
+        release()
+
+    return run
+
+
 def n_words(text: Column) -> Column:
     """Words of a text by the contracts' pattern; null has none."""
     return F.size(F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE), ""))

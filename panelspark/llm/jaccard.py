@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, small_batches
+from .common import cut, lean, small_batches
 from .components import components
 
 N = 5
@@ -315,7 +315,7 @@ def jaccard_components(docs: DataFrame, n: int = N, percent: int = PERCENT, most
     bits = max(5, math.ceil(math.log2(max(1.0, size / BUCKET))))
     often = max(SHORT, math.ceil(size / most_often))
 
-    counted = rows.select("text").mapInArrow(lambda it: _counted(it, n, bits), "bucket int, once binary, many binary, times binary")
+    counted = rows.select("text").mapInArrow(lean(lambda it: _counted(it, n, bits)), "bucket int, once binary, many binary, times binary")
     frequent = counted.groupBy("bucket").applyInArrow(lambda t: _frequent(t, often), "token long, times long").toArrow()
     token, times = frequent.column("token").to_numpy(), frequent.column("times").to_numpy()
     by = np.argsort(token)
@@ -324,7 +324,7 @@ def jaccard_components(docs: DataFrame, n: int = N, percent: int = PERCENT, most
     def emit(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _emitted(it, n, Order(*order.value, bits, percent))
 
-    emitted = cut(rows.mapInArrow(emit, "kind byte, doc_id long, text_key long, n int, set_id long, grp long, token long, pos int, rare int, blob binary"))
+    emitted = cut(rows.mapInArrow(lean(emit), "kind byte, doc_id long, text_key long, n int, set_id long, grp long, token long, pos int, rare int, blob binary"))
     placed = emitted.where("kind = 0").select("doc_id", "text_key", F.col("n").alias("n_shingles"), "set_id", "grp", F.col("blob").alias("bits"))
     sets = cut(placed.where("n_shingles > 0").groupBy("set_id", "grp").agg(F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "text_key")).alias("of"), F.min("n_shingles").alias("n"), F.first("bits").alias("bits")))
     paired = cut(emitted.where("kind = 1").select("token", "blob").groupBy("token").applyInArrow(lambda t: _paired(t, percent), "kind byte, a long, b long, token long, n int, pos int"))
@@ -385,7 +385,7 @@ def _links(rows: DataFrame, sets: DataFrame, pairs: DataFrame, n: int, percent:
     u = sets.select(F.col("set_id").alias("a"), F.col("n").alias("n_a"), F.col("bits").alias("bits_a"))
     v = sets.select(F.col("set_id").alias("b"), F.col("n").alias("n_b"), F.col("bits").alias("bits_b"))
     signed = pairs.join(u, "a").join(v, "b").select("a", "b", "n_a", "n_b", "bits_a", "bits_b")
-    pairs = cut(signed.mapInArrow(lambda it: _near(it, percent), "a long, b long"))
+    pairs = cut(signed.mapInArrow(lean(lambda it: _near(it, percent)), "a long, b long"))
     of = sets.groupBy("set_id").agg(F.min("of").alias("of")).select("set_id", F.col("of.doc_id").alias("_id"), F.col("of.text_key").alias("_key"))
     wanted = cut(pairs.select(F.col("a").alias("set_id")).unionByName(pairs.select(F.col("b").alias("set_id"))).distinct().join(of, "set_id"), 2 * pairs.count())
     ids = F.broadcast(wanted) if wanted.count() <= few else wanted
@@ -395,7 +395,7 @@ def _links(rows: DataFrame, sets: DataFrame, pairs: DataFrame, n: int, percent:
     x, y = texts.select(F.col("set_id").alias("a"), F.col("text").alias("x")), texts.select(F.col("set_id").alias("b"), F.col("text").alias("y"))
     # The lesser end often is a pivot with many partners: its text travels to where the pairs are dealt by the other end.
     joined = pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y")
-    return cut(joined.mapInArrow(lambda it: _verified(it, n, percent), "a long, b long"))
+    return cut(joined.mapInArrow(lean(lambda it: _verified(it, n, percent)), "a long, b long"))
 
 
 def keep_one(docs: DataFrame, found: DataFrame) -> DataFrame:

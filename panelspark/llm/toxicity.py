@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, small_batches
+from .common import cut, lean, small_batches
 
 MAX_DOCS = 12_000
 MOST_WORDS = 100_000
@@ -131,7 +131,7 @@ def _sample(docs: DataFrame, labels: DataFrame, max_docs: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([x[0] for x in found], pa.int64()), pa.array([x[1] for x in found], pa.int64())], names=[*batch.schema.names, "_a", "_b"])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    known = cut(rows.mapInArrow(sketched, f"{kinds}, _a long, _b long"))
+    known = cut(rows.mapInArrow(lean(sketched), f"{kinds}, _a long, _b long"))
     for c in ("_a", "_b"):
         first = known.groupBy(c).agg(F.min(F.struct("doc_id")).alias("_first"))
         known = known.join(first, c).where(F.struct("doc_id") == F.col("_first")).drop("_first")
@@ -155,7 +155,7 @@ def _mined(sample: DataFrame, toxic: int, total: int) -> list[str]:
     if not toxic or toxic == total:
         return []
     base = toxic / total
-    counts = sample.select("text", "toxic").mapInArrow(counted, "key string, n long, pos long").groupBy("key").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos")).where("pos >= 3")
+    counts = sample.select("text", "toxic").mapInArrow(lean(counted), "key string, n long, pos long").groupBy("key").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos")).where("pos >= 3")
     p = F.col("pos") / F.col("n")
     gain = F.col("pos") * F.log(p / base) + F.when(F.col("n") > F.col("pos"), (F.col("n") - F.col("pos")) * F.log((1 - p) / (1 - base))).otherwise(0.0)
     # Log-likelihood gain over chance, against the number of candidates tried: false discoveries stay under their share.
@@ -259,7 +259,7 @@ class Sample:
                     out.append((list(f), list(f.values()), len(words)))
                 yield pa.RecordBatch.from_arrays([batch.column("toxic").cast(pa.int64()), *(pa.array([x[i] for x in out], pa.list_(pa.int64())) for i in (0, 1)), pa.array([x[2] for x in out], pa.int64())], names=["toxic", "at", "n", "words"])
 
-        got = sample.select("toxic", "text").mapInArrow(featured, "toxic long, at array<long>, n array<long>, words long").toArrow().to_pydict()
+        got = sample.select("toxic", "text").mapInArrow(lean(featured), "toxic long, at array<long>, n array<long>, words long").toArrow().to_pydict()
         self.rows = [dict(zip(a, x, strict=True)) for a, x in zip(got["at"], got["n"], strict=True)]
         self.gold, self.words = np.array(got["toxic"]), got["words"]
 
