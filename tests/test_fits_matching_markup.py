@@ -126,6 +126,18 @@ def test_similar_names_against_brute_force(spark):
     assert {(r["a"], r["b"]) for r in catalog.QUERIES["similar_names"](spark, SF).collect()} == want
 
 
+def test_recipe_blends_tie_equal_totals(spark, tmp_path):
+    """Totals of equal prices tie in whatever order they are added; a repeated customer's orders count as often; without any price the value is 0."""
+    prices = {1: [0.1, 0.2, 0.3], 2: [0.3, 0.2, 0.1], 3: [None, None, None], 4: [-5.0, 1.0, 1.0], 5: [0.4, 0.15, 0.05], 6: [1e300, 0.1, 0.2], 7: [1e-12, 0.0, 0.0], 8: [float("nan"), 1.0, 1.0]}
+    spark.createDataFrame([(k, 0) for k in [*prices, 5]], "c_custkey long, c_nationkey int").coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame([(k, x) for k, v in prices.items() for x in v], "o_custkey long, o_totalprice double").coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    # Values: 4 has -3, 3 has 0, 7 has 1e-12, 1 and 2 have 0.6, 5 has 2 * 0.6, 6 has 1e300, 8 is no number; counts: 5 has 6, all others 3.
+    value, count = {4: 2, 3: 4, 7: 6, 1: 9, 2: 9, 5: 12, 6: 14, 8: 16}, {k: 16 if k == 5 else 8 for k in prices}
+    want = {(name, k): a * count[k] + b * value[k] for name, a, b in (("even", 6, 6), ("count", 9, 3), ("value", 2, 10)) for k in prices}
+    got = catalog.QUERIES["recipe_blends"](spark, str(tmp_path)).collect()
+    assert len(got) == len(want) and {(r["recipe"], r["c_custkey"]): r["blend"] for r in got} == want
+
+
 def test_html_tables(spark):
     page = "<table><tr><th>A &amp; B<th>C</tr><tr><td>1<br>2</td><td>x<table><tr><td>in</td></tr></table>y</td></tr><tr></tr></table><p>no</p><table><td>loose"
     df = spark.createDataFrame([(1, page), (2, None), (3, "")], "k int, h string")
