@@ -96,6 +96,11 @@ class Transducer:
         self.moves: dict[int, int] = {}
         self._state((NONE << NODE,), -1)
 
+    def forget(self) -> None:
+        """Drops all that was learned from texts; what the vocabulary alone gives stays."""
+        self.follows.clear()
+        self._reset()
+
     def _state(self, hypotheses: tuple[int, ...], whole: int) -> int:
         if (i := self.ids.get(hypotheses)) is None:
             i = self.ids[hypotheses] = len(self.states)
@@ -261,6 +266,11 @@ class Codec:
         """Ids as little-endian unsigned 32-bit integers."""
         return b"".join(map(self.memo.__getitem__, self.split(text)))
 
+    def forget(self) -> None:
+        """Drops the states and the memo: tasks go to idle workers in turn, so each that ever ran one would keep them otherwise. They are soon learned again."""
+        self.memo.clear()
+        self.fst.forget()
+
 
 class Vocabulary:
     """What decoding needs: the bytes of each id."""
@@ -305,6 +315,13 @@ def _pass_through(batches: Iterator[pa.RecordBatch], column: str, work) -> Itera
         yield pa.RecordBatch.from_arrays([batch.column(k) for k in rest] + list(added.values()), names=[batch.schema.names[k] for k in rest] + list(added))
 
 
+def unpacked(ids: bytes) -> list[int]:
+    """Ids from little-endian unsigned 32-bit integers."""
+    import numpy as np
+
+    return np.frombuffer(ids, "<u4").tolist()
+
+
 def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text") -> DataFrame:
     """The rows with ``ids`` (little-endian unsigned 32-bit integers) in place of the text.
 
@@ -320,7 +337,8 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text") ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = _of_worker(Codec, ranks.value, pattern)
-        return _pass_through(batches, text, lambda texts: {"ids": pa.array([c.encode(t or "") for t in texts], pa.binary())})
+        yield from _pass_through(batches, text, lambda texts: {"ids": pa.array([c.encode(t or "") for t in texts], pa.binary())})
+        c.forget()
 
     return df.mapInArrow(lean(run), f"{kinds}, ids binary")
 
@@ -337,14 +355,35 @@ def decode(df: DataFrame, ranks_path: str, ids: str = "ids", out: str = "decoded
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name != ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
-
         c = _of_worker(Vocabulary, ranks.value)
 
         def work(values: list) -> dict:
-            texts = pa.array([None if v is None else c.decode(np.frombuffer(v, "<u4").tolist()) for v in values], pa.binary())
+            texts = pa.array([None if v is None else c.decode(unpacked(v)) for v in values], pa.binary())
             return ({ids: pa.array(values, pa.binary())} if keep_ids else {}) | {out: texts}
 
         return _pass_through(batches, ids, work)
 
     return df.mapInArrow(lean(run), f"{kinds}{f', `{ids}` binary' if keep_ids else ''}, `{out}` binary")
+
+
+def round_trip(df: DataFrame, ranks_path: str, pattern: str, text: str = "text", out: str = "decoded") -> DataFrame:
+    """The rows with ``ids`` and ``out``, the bytes decoded from them, in place of the text: ``decode`` of ``encode``, in one Python worker a task instead of two.
+
+    Nulls, empty texts, repeated rows and empty tables as in ``encode``; columns named ids or as ``out`` are replaced.
+    """
+    small_batches(df.sparkSession)
+    ranks = df.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
+    df = df.select(*[c for c in df.columns if c not in {"ids", out} - {text}])
+    kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in df.schema if f.name != text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c, v = _of_worker(Codec, ranks.value, pattern), _of_worker(Vocabulary, ranks.value)
+
+        def work(texts: list) -> dict:
+            ids = [c.encode(t or "") for t in texts]
+            return {"ids": pa.array(ids, pa.binary()), out: pa.array([v.decode(unpacked(i)) for i in ids], pa.binary())}
+
+        yield from _pass_through(batches, text, work)
+        c.forget()
+
+    return df.mapInArrow(lean(run), f"{kinds}ids binary, `{out}` binary")

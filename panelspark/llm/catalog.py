@@ -42,7 +42,7 @@ def op5_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bpe_digest(docs: DataFrame) -> DataFrame:
     path, pattern = vocabulary()
-    coded = bpe.decode(bpe.encode(docs.select("doc_id", "text"), path, pattern), path)
+    coded = bpe.round_trip(docs.select("doc_id", "text"), path, pattern)
     return coded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -226,6 +226,30 @@ def test_bpe_against_tiktoken():
     assert bpe.Utf8Stream().feed(b"\xff\xfe") == "��"
 
 
+def test_bpe_round_trip_needs_one_worker_a_task(spark):
+    import public_tokenizers
+
+    path, pattern = public_tokenizers.path(catalog.VOCABULARY), public_tokenizers.PATTERN
+    docs = spark.createDataFrame([(1, "don't we'll é👩", "x"), (2, None, None), (None, "", "y"), (1, "don't we'll é👩", "x")], "doc_id long, text string, ids string")
+    both, apart = bpe.round_trip(docs, path, pattern), bpe.decode(bpe.encode(docs, path, pattern), path)
+    assert sorted(map(str, both.select("doc_id", "ids", "decoded").collect())) == sorted(map(str, apart.select("doc_id", "ids", "decoded").collect()))
+    assert bpe.round_trip(docs.where("false"), path, pattern).count() == 0
+    # Two in a row keep two workers a task, and each of them its caches.
+    assert catalog.bpe_digest(docs)._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+
+
+def test_bpe_workers_keep_nothing_of_a_text():
+    import public_tokenizers
+
+    c = bpe.Codec(bpe.read_ranks(public_tokenizers.path(catalog.VOCABULARY)), public_tokenizers.PATTERN)
+    fresh = len(c.fst.states)
+    ids = c.encode("Donaudampfschifffahrtsgesellschaft qwertzuiop")
+    assert len(c.fst.states) > fresh and c.memo and c.fst.follows
+    c.forget()
+    assert (len(c.fst.states), len(c.fst.moves), len(c.memo), len(c.fst.follows)) == (fresh, 0, 0, 0)
+    assert c.encode("Donaudampfschifffahrtsgesellschaft qwertzuiop") == ids
+
+
 def test_bpe_on_the_documents_table_against_tiktoken(spark):
     import public_tokenizers
     import tiktoken
