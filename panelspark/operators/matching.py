@@ -115,3 +115,21 @@ def similar(pairs: DataFrame, a: str, b: str, least: float = 0.85) -> DataFrame:
     x, y = F.char_length(a), F.char_length(b)
     may = 2 * F.least(x, y) >= F.lit(least) * (x + y)
     return pairs.where(may).withColumn("ratio", matching_ratio(F.col(a), F.col(b))).where(F.col("ratio") >= least)
+
+
+def similar_within(df: DataFrame, by: list[str], key: str, name: str, least: float = 0.85) -> DataFrame:
+    """(a, b, ratio) of all rows of a block with key a < b whose names' matching ratio, a's name first, reaches ``least``.
+
+    Names are compared by distinct ordered pair that a block has, whatever the number of rows that share
+    them; equal names have the ratio 1 uncompared. Keys meet only by names known to be alike, so nothing
+    but the result grows with the copies of a name. Null keys, names and blocks have no pairs; repeated
+    keys repeat theirs.
+    """
+    rows = df.select(*by, F.col(key).alias("key"), F.col(name).alias("name")).where(F.col("name").isNotNull())
+    names = rows.groupBy(*by, "name").agg(F.min("key").alias("lo"), F.max("key").alias("hi"))
+    pairs = names.select(*by, F.col("name").alias("m"), "lo").join(names.select(*by, F.col("name").alias("n"), "hi"), by).where("lo < hi").select(*by, "m", "n")
+    alike = similar(pairs.where("m <> n").select("m", "n").distinct(), "m", "n", least)
+    same = pairs.where((F.col("m") == F.col("n")) & (F.lit(least) <= 1)).withColumn("ratio", F.lit(1.0))
+    linked = pairs.join(alike, ["m", "n"]).unionByName(same)
+    left = linked.join(rows.withColumnsRenamed({"key": "a", "name": "m"}), [*by, "m"])
+    return left.join(rows.withColumnsRenamed({"key": "b", "name": "n"}), [*by, "n"]).where("a < b").select("a", "b", "ratio")

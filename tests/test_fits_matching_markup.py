@@ -126,6 +126,33 @@ def test_similar_names_against_brute_force(spark):
     assert {(r["a"], r["b"]) for r in catalog.QUERIES["similar_names"](spark, SF).collect()} == want
 
 
+def test_similar_within_compares_names_once(spark):
+    names = ["jon smith", "john smith", "mary jones", "mary jonse", "", "tide bait", "diet bait", None]
+    rows = [(k, g, x) for k, (g, x) in enumerate((g, x) for _ in range(9) for g in ("g", "h", None) for x in names)] + [(None, "g", "jon smith"), (0, "g", "jon smith")]
+    want = sorted((a, b, difflib.SequenceMatcher(None, m, n).ratio()) for a, g, m in rows for b, h, n in rows if None not in (a, b, g, m, n) and g == h and a < b and difflib.SequenceMatcher(None, m, n).ratio() >= 0.85)
+    df = spark.createDataFrame(rows, "k long, g string, x string")
+    assert sorted((r["a"], r["b"], r["ratio"]) for r in matching.similar_within(df, ["g"], "k", "x").collect()) == want
+    assert matching.similar_within(df.where("false"), ["g"], "k", "x").count() == 0
+
+
+def test_similar_names_of_copies_are_not_compared_again(spark, tmp_path):
+    """What reaches Python is the distinct pairs of names, not the pairs of parts."""
+    spark.range(400).selectExpr("id AS p_partkey", "IF(id % 2 = 0, 'large ring', 'large rings') AS p_name", "'b' AS p_brand", "'t' AS p_type", "1 AS p_size").write.parquet(f"{tmp_path}/part.parquet")
+    compared, ratio = spark.sparkContext.accumulator(0), matching.matching_ratio
+
+    @F.pandas_udf("double")
+    def counting(a: pd.Series, b: pd.Series) -> pd.Series:
+        compared.add(len(a))
+        return pd.Series([difflib.SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
+
+    matching.matching_ratio = counting
+    try:
+        assert catalog.QUERIES["similar_names"](spark, str(tmp_path)).count() == 400 * 399 // 2
+    finally:
+        matching.matching_ratio = ratio
+    assert compared.value <= 8
+
+
 def test_recipe_blends_tie_equal_totals(spark, tmp_path):
     """Totals of equal prices tie in whatever order they are added; a repeated customer's orders count as often; without any price the value is 0."""
     prices = {1: [0.1, 0.2, 0.3], 2: [0.3, 0.2, 0.1], 3: [None, None, None], 4: [-5.0, 1.0, 1.0], 5: [0.4, 0.15, 0.05], 6: [1e300, 0.1, 0.2], 7: [1e-12, 0.0, 0.0], 8: [float("nan"), 1.0, 1.0]}
