@@ -89,7 +89,9 @@ def positional_rows(spark, d):
 def fixed_arrays(spark, d):
     """Vectors, the columnar form of arrays of fixed length, scanned with their list."""
     e = table(spark, d, "embeddings", "vec_id", "embedding")
-    return e.select("vec_id", F.size("embedding").alias("dim"), F.round(F.aggregate(F.col("embedding").cast("array<double>"), F.lit(0.0), lambda a, x: a + x), 3).alias("total"))
+    total = F.aggregate(F.col("embedding").cast("array<double>"), F.lit(0.0), lambda a, x: a + x)
+    # A small negative total rounds to a zero that keeps its sign, as in the SQL.
+    return e.select("vec_id", F.size("embedding").alias("dim"), F.when(total < 0, -F.round(-total, 3)).otherwise(F.round(total, 3)).alias("total"))
 
 
 @query("SELECT 'nation=' || n_nationkey AS file, n_name AS text FROM nation")
